@@ -1,0 +1,46 @@
+"""Every registered query against its SQL counterpart in DuckDB, over whole tables."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+from pyspark.sql import types as T
+
+import __spark_entry__ as contract
+
+QUERIES = contract.queries()
+ORACLE = contract.oracle_sql()
+KIND = {
+    T.StringType: "VARCHAR", T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE",
+    T.BooleanType: "BOOLEAN", T.DateType: "DATE",
+}
+
+
+@pytest.fixture(scope="module")
+def duck(folder):
+    con = duckdb.connect()
+    for file in Path(folder).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return con
+
+
+def sorted_rows(rows):
+    return sorted(rows, key=lambda row: tuple((v is None, str(v)) for v in row))
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_matches_oracle(spark, duck, folder, name):
+    got = QUERIES[name](spark, folder)
+    want = duck.execute(ORACLE[name])
+    want_types = {d[0]: str(d[1]) for d in want.description}
+    assert {f.name: KIND[type(f.dataType)] for f in got.schema.fields} == want_types
+    columns = sorted(want_types)
+    order = [[d[0] for d in want.description].index(c) for c in columns]
+    want_rows = sorted_rows([tuple(row[i] for i in order) for row in want.fetchall()])
+    got_rows = sorted_rows([tuple(row) for row in got.select(*columns).collect()])
+    assert want_rows
+    assert got_rows == want_rows
