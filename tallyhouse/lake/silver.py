@@ -16,7 +16,9 @@ def clean(df: DataFrame, required: Sequence[str]) -> DataFrame:
     trimmed = df.withColumns(
         {f.name: F.trim(f.name) for f in df.schema.fields if isinstance(f.dataType, StringType)}
     )
-    return trimmed.dropna(subset=list(required))
+    for name in required:
+        trimmed = trimmed.filter(F.col(name).isNotNull())
+    return trimmed
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.money import money, total
+from tallyhouse.functions.money import total_of_doubles
 from tallyhouse.functions.text import full_name, like_literal
 from tallyhouse.functions.time import elapsed_hours, file_day, iso_day, within_day
 from tallyhouse.lake import bronze, checks, silver
@@ -82,7 +82,7 @@ def _brands(spark: SparkSession, folder: str) -> DataFrame:
 def _brand_revenue(spark: SparkSession, folder: str, sales: DataFrame) -> DataFrame:
     """Line items are summed per part before they meet the parts, which reduces a busy part in the map tasks."""
     takings = sales.groupBy(F.col("l_partkey").alias("film_id")).agg(
-        total(F.col("l_extendedprice")).alias("amount")
+        total_of_doubles(F.col("l_extendedprice")).alias("amount")
     )
     return star.takings_per_category(_brands(spark, folder), takings, one_category_each=True)
 
@@ -263,7 +263,7 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 def bronze_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "bronze-events-json")
     bronze.write_days(_events(spark, folder), path, "json")
-    back = read_json(spark, path, schemas.with_day(schemas.EVENTS))
+    back = read_json(spark, path, schemas.with_day(schemas.table_schema("events")))
     return back.withColumns(
         {"ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "load_date": iso_day(F.col("load_date"))}
     )
@@ -273,7 +273,7 @@ def bronze_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """A full table landed as header CSV under one load date."""
     path = new_folder(spark, "bronze-customer-csv")
     bronze.ingest_day(read_table(spark, folder, "customer"), path, RELOADED_DAY, "csv")
-    back = read_csv(spark, path, schemas.with_day(schemas.CUSTOMER))
+    back = read_csv(spark, path, schemas.with_day(schemas.table_schema("customer")))
     return back.withColumn("load_date", iso_day(F.col("load_date")))
 
 
@@ -282,7 +282,7 @@ def bronze_partition_counts(spark: SparkSession, folder: str) -> DataFrame:
     bronze.write_days(_events(spark, folder), path, "json")
     day = F.col("load_date")
     counts = (
-        read_json(spark, path, schemas.with_day(schemas.EVENTS)).groupBy(day).agg(F.count("*").alias("row_count"))
+        read_json(spark, path, schemas.with_day(schemas.table_schema("events"))).groupBy(day).agg(F.count("*").alias("row_count"))
     )
     return counts.select(
         iso_day(day).alias("load_date"),
@@ -303,7 +303,7 @@ def incremental_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     bronze.ingest_day(reload.select("event_id", (F.col("value") + 1).alias("value")), path, RELOADED_DAY, "csv")
     back = read_csv(spark, path, days.schema)
     return back.groupBy(iso_day(F.col("load_date")).alias("load_date")).agg(
-        F.count("*").alias("row_count"), total(F.col("value")).cast("double").alias("value_sum")
+        F.count("*").alias("row_count"), total_of_doubles(F.col("value")).cast("double").alias("value_sum")
     )
 
 
@@ -330,7 +330,7 @@ def stream_silver_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     for delivery in (events, again):
         bronze.write_days(delivery, landing, "json", mode="append")
         refresh_silver(
-            spark, landing, schemas.with_day(schemas.EVENTS), table, progress, EVENT_KEYS, ["event_id"]
+            spark, landing, schemas.with_day(schemas.table_schema("events")), table, progress, EVENT_KEYS, ["event_id"]
         )
     return _silver_rows(spark, table)
 
@@ -360,5 +360,5 @@ def multi_source_union(spark: SparkSession, folder: str) -> DataFrame:
         for source in ("customer", "supplier")
     ]
     return landed[0].unionByName(landed[1]).groupBy("source").agg(
-        F.count("*").alias("row_count"), F.sum(money(F.col("balance"))).cast("double").alias("balance_sum")
+        F.count("*").alias("row_count"), total_of_doubles(F.col("balance")).cast("double").alias("balance_sum")
     )

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyhouse.sources import schemas
+
 # The default time format keeps milliseconds only.
 _MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_OPTIONS = {"timestampNTZFormat": _MICROS}
@@ -30,7 +32,8 @@ WRITE_OPTIONS = {
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A table of the desk. Its schema is given, so nothing is read before the query runs."""
+    return spark.read.schema(schemas.TABLES[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:

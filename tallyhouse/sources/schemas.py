@@ -12,26 +12,38 @@ OUT_OF_STOCK = T.StructType(
     ]
 )
 
-EVENTS = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("props", T.StringType()),
-    ]
-)
+# The order-desk tables, column for column.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": (
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE"
+    ),
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+        " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+        " l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,"
+        " l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    ),
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "benchmark": "item_id BIGINT, text STRING",
+}
 
-CUSTOMER = T.StructType(
-    [
-        T.StructField("c_custkey", T.LongType()),
-        T.StructField("c_name", T.StringType()),
-        T.StructField("c_nationkey", T.IntegerType()),
-        T.StructField("c_acctbal", T.DoubleType()),
-        T.StructField("c_mktsegment", T.StringType()),
-    ]
-)
+
+def table_schema(name: str) -> T.StructType:
+    return T.StructType.fromDDL(TABLES[name])
 
 
 def with_day(schema: T.StructType, day: str = "load_date") -> T.StructType:

@@ -41,7 +41,7 @@ def refresh_silver(
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:
         # Load dates only: their number is bounded by the calendar, not by the data.
-        days = [row[0] for row in batch.select("load_date").distinct().collect()]
+        days = [row[0] for row in batch.select("load_date").dropna().distinct().collect()]
         log.info("batch %d: %d day(s) to rebuild in %s", batch_id, len(days), silver)
         if days:
             touched = read_json(batch.sparkSession, bronze, schema).filter(F.col("load_date").isin(days))
