@@ -263,7 +263,7 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 def bronze_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "bronze-events-json")
     bronze.write_days(_events(spark, folder), path, "json")
-    back = read_json(spark, path, schemas.with_day(schemas.table_schema("events")))
+    back = read_json(spark, path, schemas.with_day(schemas.TABLES["events"]))
     return back.withColumns(
         {"ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "load_date": iso_day(F.col("load_date"))}
     )
@@ -273,7 +273,7 @@ def bronze_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """A full table landed as header CSV under one load date."""
     path = new_folder(spark, "bronze-customer-csv")
     bronze.ingest_day(read_table(spark, folder, "customer"), path, RELOADED_DAY, "csv")
-    back = read_csv(spark, path, schemas.with_day(schemas.table_schema("customer")))
+    back = read_csv(spark, path, schemas.with_day(schemas.TABLES["customer"]))
     return back.withColumn("load_date", iso_day(F.col("load_date")))
 
 
@@ -282,7 +282,7 @@ def bronze_partition_counts(spark: SparkSession, folder: str) -> DataFrame:
     bronze.write_days(_events(spark, folder), path, "json")
     day = F.col("load_date")
     counts = (
-        read_json(spark, path, schemas.with_day(schemas.table_schema("events"))).groupBy(day).agg(F.count("*").alias("row_count"))
+        read_json(spark, path, schemas.with_day(schemas.TABLES["events"])).groupBy(day).agg(F.count("*").alias("row_count"))
     )
     return counts.select(
         iso_day(day).alias("load_date"),
@@ -330,7 +330,7 @@ def stream_silver_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     for delivery in (events, again):
         bronze.write_days(delivery, landing, "json", mode="append")
         refresh_silver(
-            spark, landing, schemas.with_day(schemas.table_schema("events")), table, progress, EVENT_KEYS, ["event_id"]
+            spark, landing, schemas.with_day(schemas.TABLES["events"]), table, progress, EVENT_KEYS, ["event_id"]
         )
     return _silver_rows(spark, table)
 

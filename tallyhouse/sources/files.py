@@ -40,7 +40,7 @@ def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[
     return {name: read_table(spark, folder, name) for name in names}
 
 
-def read_json(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+def read_json(spark: SparkSession, path: str | list[str], schema: StructType | str) -> DataFrame:
     """JSON lines, or files holding one array of records on a single line.
 
     A field that does not parse becomes null; judge bad rows by null required fields.
@@ -49,7 +49,7 @@ def read_json(spark: SparkSession, path: str | list[str], schema: StructType) ->
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: StructType, null_mark: str = CSV_OPTIONS["nullValue"]
+    spark: SparkSession, path: str | list[str], schema: StructType | str, null_mark: str = CSV_OPTIONS["nullValue"]
 ) -> DataFrame:
     """Header CSV. Values may hold line breaks, so a file is one unit of work: keep files bounded.
 
@@ -65,7 +65,7 @@ def read_csv(
     )
 
 
-def read_dated_dumps(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
+def read_dated_dumps(spark: SparkSession, root: str, table: str, schema: StructType | str) -> DataFrame:
     """Hand-laid dumps ``root/<year>/<month>/<day>/<table>_<year>_<month>_<day>.csv`` with their day.
 
     The day comes from the file name, whatever the depth of the folders above it.
@@ -82,7 +82,7 @@ def read_dated_dumps(spark: SparkSession, root: str, table: str, schema: StructT
     return dumps.withColumn("load_date", _day_in_name())
 
 
-def read_dated_snapshots(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
+def read_dated_snapshots(spark: SparkSession, root: str, name: str, schema: StructType | str) -> DataFrame:
     """Hand-laid snapshots ``root/<year>/<month>/<name>_<year>_<month>_<day>.json`` with their day."""
     snapshots = (
         spark.read.schema(schema)

@@ -1,16 +1,9 @@
-"""Explicit schemas for file sources; nothing is inferred from data."""
+"""Explicit schemas for file sources, as DDL; nothing is inferred from data."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # One element of a daily out-of-stock snapshot.
-OUT_OF_STOCK = T.StructType(
-    [
-        T.StructField("product_id", T.IntegerType()),
-        T.StructField("date", T.DateType()),
-    ]
-)
+OUT_OF_STOCK = "product_id INT, date DATE"
 
 # The order-desk tables, column for column.
 TABLES = {
@@ -42,10 +35,6 @@ TABLES = {
 }
 
 
-def table_schema(name: str) -> T.StructType:
-    return T.StructType.fromDDL(TABLES[name])
-
-
-def with_day(schema: T.StructType, day: str = "load_date") -> T.StructType:
+def with_day(schema: str) -> str:
     """``schema`` plus the date that partitions the folder."""
-    return T.StructType([*schema.fields, T.StructField(day, T.DateType())])
+    return f"{schema}, load_date DATE"

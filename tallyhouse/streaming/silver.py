@@ -24,7 +24,7 @@ log = logging.getLogger(__name__)
 def refresh_silver(
     spark: SparkSession,
     bronze: str,
-    schema: StructType,
+    schema: StructType | str,
     silver: str,
     checkpoint: str,
     keys: Sequence[str],

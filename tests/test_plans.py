@@ -1,0 +1,102 @@
+"""Plans: what reaches the scan, which operators are used, and what must never appear."""
+
+import re
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as contract
+from tallyhouse.plans import desk
+
+LAZY = [
+    "category_item_counts", "top10_by_demand", "revenue_by_category", "top_category_by_revenue", "items_without_stock",
+    "top3_in_category_with_ties", "active_inactive_by_group", "bucket_membership", "bucket_top_category_by_hours",
+    "elapsed_hours_by_type", "full_name", "like_vs_ilike", "profile_numeric", "load_audit", "missing_load_days",
+    "json_field_counts", "json_records", "table_catalog",
+]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    )
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    """Plans as they are when no table is small."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_stays_in_the_engine(spark, folder, name):
+    plan = plan_of(contract.queries()[name](spark, folder))
+    for unwanted in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD"):
+        assert unwanted not in plan, unwanted
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_large_tables_are_never_broadcast(spark, folder, no_broadcast, name):
+    """Without Spark's own size check only the list of busy keys may be broadcast."""
+    plan = plan_of(contract.queries()[name](spark, folder))
+    for broadcast in re.findall(r"BroadcastExchange.*\n.*\n.*", plan):
+        assert "_shares" in broadcast
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_lists_are_gathered_from_top_rows_only(spark, folder, name):
+    lines = plan_of(contract.queries()[name](spark, folder)).splitlines()
+    for line, below in zip(lines, lines[1:]):
+        if "collect_" in line and "partial_collect_list" in line:
+            assert "TakeOrderedAndProject(limit=3" in below
+
+
+def test_no_single_task_for_ties(spark, folder):
+    plan = plan_of(desk.top3_in_category_with_ties(spark, folder))
+    assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def test_anti_join(spark, folder):
+    plan = plan_of(desk.items_without_stock(spark, folder))
+    assert "LeftAnti" in plan
+    assert "EqualTo(l_returnflag,R)" in plan and "GreaterThanOrEqual(l_qu" in plan
+
+
+def test_top_rows_are_cut_before_the_shuffle(spark, folder):
+    assert "TakeOrderedAndProject(limit=10" in plan_of(desk.top10_by_demand(spark, folder))
+    assert "TakeOrderedAndProject(limit=1" in plan_of(desk.top_category_by_revenue(spark, folder))
+    plan = plan_of(desk.bucket_top_category_by_hours(spark, folder))
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_no_rows_are_copied_for_several_distinct_counts(spark, folder):
+    assert "Expand" not in plan_of(desk.active_inactive_by_group(spark, folder))
+
+
+def test_only_needed_columns_are_read(spark, folder):
+    plan = plan_of(desk.active_inactive_by_group(spark, folder))
+    assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
+    plan = plan_of(desk.revenue_by_category(spark, folder))
+    assert "ReadSchema: struct<l_partkey:bigint,l_extendedprice:double>" in plan
+    plan = plan_of(desk.top3_in_category_with_ties(spark, folder))
+    assert "EqualTo(p_brand,Brand#7)" in plan
+
+
+def test_one_scan_of_line_items_feeds_all_uses(spark, folder):
+    df = desk.top10_by_demand(spark, folder)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    scans = [line for line in final.splitlines() if "FileScan" in line and "lineitem" in line]
+    assert len(scans) <= 2 and "ReusedExchange" in final
+
+
+def test_package_does_not_collect_or_checkpoint_locally():
+    """The driver receives nothing but a bounded list of days, key bounds and log lines."""
+    sources = {p: p.read_text() for p in (Path(desk.__file__).parent.parent).rglob("*.py")}
+    calls = re.compile(r"\.(collect|toPandas|toLocalIterator|localCheckpoint|rdd|crossJoin|first|cache|persist)\(")
+    found = {(p.name, m.group(1)) for p, text in sources.items() for m in calls.finditer(text)}
+    assert found == {("silver.py", "collect"), ("checks.py", "toLocalIterator"), ("jdbc.py", "first")}
