@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,16 +41,22 @@ def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[
     return {name: read_table(spark, folder, name) for name in names}
 
 
-def read_json(spark: SparkSession, path: str | list[str], schema: StructType | str) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """JSON lines, or files holding one array of records on a single line.
 
     A field that does not parse becomes null; judge bad rows by null required fields.
     """
-    return spark.read.schema(schema).options(**JSON_OPTIONS).option("mode", "PERMISSIVE").json(path)
+    return spark.read.schema(schema).options(**JSON_OPTIONS).json(path)
+
+
+def read_json_days(spark: SparkSession, path: str, schema: StructType | str, days: Iterable[dt.date]) -> DataFrame:
+    """Some days of a table laid out by ``load_date``; the folders of other days are not even listed."""
+    folders = [f"{path.rstrip('/')}/load_date={day.isoformat()}" for day in days]
+    return spark.read.schema(schema).options(**JSON_OPTIONS).option("basePath", path).json(folders)
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: StructType | str, null_mark: str = CSV_OPTIONS["nullValue"]
+    spark: SparkSession, path: str, schema: StructType | str, null_mark: str = CSV_OPTIONS["nullValue"]
 ) -> DataFrame:
     """Header CSV. Values may hold line breaks, so a file is one unit of work: keep files bounded.
 

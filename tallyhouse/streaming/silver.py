@@ -12,11 +12,10 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyhouse.lake.silver import bronze_to_silver
-from tallyhouse.sources.files import JSON_OPTIONS, read_json
+from tallyhouse.sources.files import JSON_OPTIONS, read_json_days
 
 log = logging.getLogger(__name__)
 
@@ -44,8 +43,7 @@ def refresh_silver(
         days = [row[0] for row in batch.select("load_date").dropna().distinct().collect()]
         log.info("batch %d: %d day(s) to rebuild in %s", batch_id, len(days), silver)
         if days:
-            touched = read_json(batch.sparkSession, bronze, schema).filter(F.col("load_date").isin(days))
-            bronze_to_silver(touched, silver, keys, order)
+            bronze_to_silver(read_json_days(batch.sparkSession, bronze, schema, days), silver, keys, order)
 
     query = (
         landed.json(bronze)

@@ -34,6 +34,26 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, folder, name):
+    compare(spark, duck, folder, name)
+
+
+@pytest.mark.parametrize(
+    "name", sorted(n for n, sql in ORACLE.items() if "events" in sql or "orders" in sql or "customer" in sql)
+)
+def test_session_settings_do_not_matter(spark, duck, folder, name):
+    """Results depend neither on the session's time zone nor on ANSI mode."""
+    settings = {"spark.sql.session.timeZone": "America/New_York", "spark.sql.ansi.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        compare(spark, duck, folder, name)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def compare(spark, duck, folder, name):
     got = QUERIES[name](spark, folder)
     want = duck.execute(ORACLE[name])
     want_types = {d[0]: str(d[1]) for d in want.description}
