@@ -7,19 +7,14 @@ join key, because then that side has no shuffle of its own; ``salted_join`` cove
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 
 
 def salted_join(
-    many: DataFrame,
-    few: DataFrame,
-    key: str,
-    spread_by: str,
-    hot_rows: int = HOT_ROWS,
-    rows_per_key: DataFrame | None = None,
+    many: DataFrame, few: DataFrame, key: str, spread_by: str, hot_rows: int = HOT_ROWS, bound: str | None = None
 ) -> DataFrame:
     """Inner join of ``many`` to ``few`` on ``key``, with each busy key divided over several partitions.
 
@@ -27,23 +22,28 @@ def salted_join(
     of ``hot_rows``; a row's share comes from the hash of ``spread_by``. Matching rows of ``few`` are
     repeated once per share, so ``few`` should hold few rows per key.
 
-    ``rows_per_key`` (key, rows) may supply the row counts of ``many``, or upper bounds of them, where the
-    caller has them anyway; otherwise they are counted. The broadcast list holds busy keys only, so it has
-    fewer entries than the sum of those counts divided by ``hot_rows``.
+    The rows of ``many`` per key are counted, unless ``few`` has one row per key and its column ``bound`` is at
+    least that count. The broadcast list holds busy keys only: it has fewer entries than the counts, or
+    bounds, add up to divided by ``hot_rows``.
     """
-    if rows_per_key is None:
-        rows_per_key = many.groupBy(key).agg(F.count("*").alias("rows"))
+    if bound is None:
+        sizes = many.groupBy(key).agg(F.count("*").alias("_rows"))
+    else:
+        sizes = few.select(key, F.col(bound).alias("_rows"))
     busy = F.broadcast(
-        rows_per_key.filter((F.col("rows") > hot_rows) & F.col(key).isNotNull()).select(
-            key, F.ceil(F.col("rows") / hot_rows).cast("int").alias("_shares")
-        )
+        sizes.filter((F.col("_rows") > hot_rows) & F.col(key).isNotNull()).select(key, _shares("_rows", hot_rows))
     )
+    known = few.join(busy, key, "left") if bound is None else few.withColumn("_shares", _shares(bound, hot_rows))
     shares = F.coalesce("_shares", F.lit(1))
+    right = known.withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
     left = many.join(busy, key, "left").withColumn("_share", F.pmod(F.xxhash64(spread_by), shares).cast("int"))
-    right = few.join(busy, key, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
     return left.drop("_shares").join(right.drop("_shares"), [key, "_share"]).drop("_share")
 
 
+def _shares(rows: str, hot_rows: int) -> Column:
+    return F.greatest(F.ceil(F.col(rows) / hot_rows), F.lit(1)).cast("int").alias("_shares")
+
+
 def without_match(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other``; a null key matches nothing and is kept.
 
