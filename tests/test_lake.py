@@ -234,3 +234,27 @@ def test_stream_in_small_batches(spark, tmp_path):
         feed.land(*[(p, "a", p * i % 3, d) for p in range(6) for d in (D1, D2)])
     feed.run(files_per_batch=1)
     assert len(feed.silver()) == 12 and feed.silver() == feed.batch()
+
+
+def test_daily_job(spark, tmp_path):
+    """Delivered file -> gate -> bronze -> silver, day by day, with a rerun and a day without data."""
+    bronze_path, schema = str(tmp_path / "bronze"), schemas.with_day(schemas.OUT_OF_STOCK)
+
+    def job(day, records):
+        delivered = tmp_path / f"in/{day}.json"
+        snapshot(delivered, records)
+        rows = read_json(spark, str(delivered), schemas.OUT_OF_STOCK)
+        checks.require_day(rows, day, "out_of_stock", day="date")
+        bronze.ingest_day(rows, bronze_path, day, "json")
+        refresh_silver(
+            spark, bronze_path, schema, str(tmp_path / "silver"), str(tmp_path / "progress"),
+            ["product_id", "load_date"], ["date"],
+        )
+        return rows_of(spark.read.parquet(str(tmp_path / "silver")).select("product_id", "load_date"))
+
+    assert job(D1, [record(p, D1) for p in (5, 7, 5, 7, 9)]) == [(5, D1), (7, D1), (9, D1)]
+    assert job(D2, [record(5, D2), record(None, D2)]) == [(5, D1), (5, D2), (7, D1), (9, D1)]
+    with pytest.raises(checks.MissingLoadError, match="2021-10-09"):
+        job(D3, [])
+    # The first day is delivered again, corrected; nothing of its first load remains.
+    assert job(D1, [record(7, D1), record(8, D1)]) == [(5, D2), (7, D1), (8, D1)]
