@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,3 +52,14 @@ def ingest_day(df: DataFrame, path: str, load_date: dt.date, fmt: str) -> None:
         .format(fmt)
         .save(path)
     )
+
+
+def land_tables(
+    tables: Mapping[str, DataFrame], path: str, source: str, load_date: dt.date, fmt: str = "csv"
+) -> None:
+    """Copies whole tables to ``path/<source>/<table>/load_date=<day>``.
+
+    A failed table raises, so the day is not taken as loaded; running the day again replaces it.
+    """
+    for name, df in tables.items():
+        ingest_day(df, f"{path}/{source}/{name}", load_date, fmt)

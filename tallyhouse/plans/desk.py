@@ -30,6 +30,7 @@ TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
+SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part")
 EVENT_KEYS = ("user_id", "event_type", "load_date")
 FIRST_DAY = dt.date(2024, 1, 1)
 LAST_EXPECTED_DAY = dt.date(2024, 2, 2)
@@ -184,9 +185,12 @@ def bucket_top_category_by_hours(spark: SparkSession, folder: str) -> DataFrame:
         .join(buckets, "n_nationkey", "left_semi")
     )
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate").join(customers, "o_custkey")
-    returned = F.when(F.col("l_linestatus") == "F", F.col("l_shipdate"))
+    returned = F.when(F.col("closed"), F.col("l_shipdate"))
     rentals = (
-        t["lineitem"].select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_linestatus", "l_shipdate")
+        t["lineitem"].select(
+            F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_shipdate",
+            (F.col("l_linestatus") == "F").alias("closed"),
+        )
         .join(orders, "o_orderkey")
         .filter(F.col("l_shipdate") >= F.col("o_orderdate"))
         .select(
@@ -278,6 +282,23 @@ def bronze_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return back.withColumn("load_date", iso_day(F.col("load_date")))
 
 
+def bronze_csv_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts with quotes, line breaks and junk through header CSV."""
+    path = new_folder(spark, "bronze-documents-csv")
+    bronze.ingest_day(read_table(spark, folder, "documents"), path, RELOADED_DAY, "csv")
+    return read_csv(spark, path, schemas.with_day(schemas.TABLES["documents"])).drop("load_date")
+
+
+def landed_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Several tables of one source landed in full for a day; rows of each as read back."""
+    root = new_folder(spark, "bronze-source")
+    bronze.land_tables(read_tables(spark, folder, SOURCE_TABLES), root, "desk", RELOADED_DAY)
+    back = {
+        name: read_csv(spark, f"{root}/desk/{name}", schemas.with_day(schemas.TABLES[name])) for name in SOURCE_TABLES
+    }
+    return table_sizes(back)
+
+
 def bronze_partition_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "bronze-events-days")
     bronze.write_days(_events(spark, folder), path, "json")
@@ -353,13 +374,14 @@ def table_catalog(spark: SparkSession, folder: str) -> DataFrame:
 def multi_source_union(spark: SparkSession, folder: str) -> DataFrame:
     """Accounts of two sources, customers and suppliers, landed by the same code and read as one table."""
     root = new_folder(spark, "bronze-accounts")
-    for source, prefix in (("customer", "c_custkey c_name c_acctbal"), ("supplier", "s_suppkey s_name s_acctbal")):
-        accounts = read_table(spark, folder, source).select(*prefix.split()).toDF("account", "name", "balance")
-        bronze.ingest_day(accounts, f"{root}/{source}", RELOADED_DAY, "parquet")
-    landed = [
-        spark.read.parquet(f"{root}/{source}").withColumn("source", F.lit(source))
-        for source in ("customer", "supplier")
-    ]
+    schema = "account BIGINT, name STRING, balance DOUBLE"
+    columns = {"customer": ("c_custkey", "c_name", "c_acctbal"), "supplier": ("s_suppkey", "s_name", "s_acctbal")}
+    landed = []
+    for source, names in columns.items():
+        accounts = read_table(spark, folder, source).select(*names).toDF("account", "name", "balance")
+        bronze.land_tables({"accounts": accounts}, root, source, RELOADED_DAY)
+        back = read_csv(spark, f"{root}/{source}/accounts", schemas.with_day(schema))
+        landed.append(back.withColumn("source", F.lit(source)))
     return landed[0].unionByName(landed[1]).groupBy("source").agg(
         F.count("*").alias("row_count"), total_of_doubles(F.col("balance")).cast("double").alias("balance_sum")
     )

@@ -137,6 +137,9 @@ ORACLE = {
     "bronze_csv_roundtrip": """
         SELECT *, '2024-01-15' AS load_date FROM customer
     """,
+    "bronze_csv_documents": """
+        SELECT doc_id, text, lang, source, n_chars FROM documents
+    """,
     "bronze_partition_counts": """
         SELECT strftime(ts, '%Y-%m-%d') AS load_date, strftime(ts, '%Y_%m_%d') AS file_day,
                CAST(year(ts) AS INTEGER) AS load_year, CAST(month(ts) AS INTEGER) AS load_month,
@@ -191,10 +194,16 @@ ORACLE = {
 # The stream must arrive at the same table as the batch.
 ORACLE["stream_silver_dedupe"] = ORACLE["silver_dedupe"]
 
-_COUNTED = (
+
+
+def _sizes(names: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {name}" for name in names.split()
+    )
+
+
+ORACLE["table_catalog"] = _sizes(
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
     " conversations"
-).split()
-ORACLE["table_catalog"] = "\nUNION ALL\n".join(
-    f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {name}" for name in _COUNTED
 )
+ORACLE["landed_tables"] = _sizes("region nation customer supplier part")

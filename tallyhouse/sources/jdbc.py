@@ -1,21 +1,15 @@
-"""Database tables over JDBC, read through several connections and landed in the bronze layer.
+"""Database tables over JDBC, read through several connections.
 
 Connection settings come from the caller; none are stored here. The driver's jar must be on the class path.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import logging
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.lake.bronze import ingest_day
-
-log = logging.getLogger(__name__)
-
 
 @dataclass(frozen=True)
 class Database:
@@ -68,21 +62,3 @@ def read_tables(
 ) -> dict[str, DataFrame]:
     keys = keys or {}
     return {table: read_table(spark, db, table, keys.get(table)) for table in tables}
-
-
-def land_tables(
-    spark: SparkSession,
-    db: Database,
-    source: str,
-    tables: Mapping[str, str | None],
-    bronze: str,
-    load_date: dt.date,
-) -> None:
-    """Copies each table to ``bronze/<source>/<table>/load_date=<day>`` as header CSV.
-
-    ``tables`` maps a table to the key its read is divided by. A failed table raises, so the day is not
-    taken as loaded; running the day again replaces it.
-    """
-    for table, key in tables.items():
-        log.info("landing %s.%s for %s", source, table, load_date)
-        ingest_day(read_table(spark, db, table, key), f"{bronze}/{source}/{table}", load_date, "csv")

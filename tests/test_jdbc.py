@@ -80,11 +80,3 @@ def test_all_film_rental_tables():
 
 def test_password_is_not_shown():
     assert "pw" not in repr(DB)
-
-
-def test_landing_writes_each_table_below_its_source(monkeypatch):
-    landed = []
-    monkeypatch.setattr(jdbc, "ingest_day", lambda df, path, day, fmt: landed.append((path, day, fmt)))
-    day = dt.date(2022, 1, 25)
-    jdbc.land_tables(Session(), DB, "shop", {"orders": "order_id", "aisles": None}, "/bronze", day)
-    assert landed == [("/bronze/shop/orders", day, "csv"), ("/bronze/shop/aisles", day, "csv")]

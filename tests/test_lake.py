@@ -104,6 +104,13 @@ def test_one_day_reads_one_folder(spark, tmp_path):
     assert rows_of(plan) == [(1, D1)]
 
 
+def test_land_tables(spark, tmp_path):
+    tables = {"a": spark.range(3), "b": spark.createDataFrame([("x",)], "s STRING")}
+    bronze.land_tables(tables, str(tmp_path), "shop", D1)
+    assert rows_of(read_csv(spark, f"{tmp_path}/shop/a", schemas.with_day("id BIGINT"))) == [(0, D1), (1, D1), (2, D1)]
+    assert rows_of(read_csv(spark, f"{tmp_path}/shop/b", schemas.with_day("s STRING"))) == [("x", D1)]
+
+
 def test_a_large_day_is_divided(spark, tmp_path):
     """One day holds nearly all rows; its folder still gets several files, written by several tasks."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
