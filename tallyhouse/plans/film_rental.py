@@ -21,6 +21,10 @@ from tallyhouse.plans import star
 
 Tables = Mapping[str, DataFrame]
 
+# The labels under which cities are reported.
+BEGINS_WITH_A = 'city begins with "a"'
+CONTAINS_DASH = 'city contains "-"'
+
 # Keys by which a database read of each table can be divided.
 TABLE_KEYS = {
     "category": None,
@@ -117,7 +121,7 @@ def city_buckets(t: Tables) -> DataFrame:
         t["city"],
         "city_id",
         "bucket",
-        {"begins with a": begins_with_any_case(city, "a"), "contains -": city.contains("-")},
+        {BEGINS_WITH_A: begins_with_any_case(city, "a"), CONTAINS_DASH: city.contains("-")},
     )
 
 
@@ -146,4 +150,6 @@ def longest_rented_category(t: Tables, hot_rows: int = HOT_ROWS) -> DataFrame:
         .join(_film_ids(t), "film_id")
     )
     hours = salted_join(_placed(t), per_film, "film_id", "category_id", hot_rows)
-    return star.longest_rented_per_bucket(hours).select("bucket", F.col("name").alias("category_name"))
+    return star.longest_rented_per_bucket(hours).select(
+        F.col("bucket").alias("city_name"), F.col("name").alias("category_name")
+    )

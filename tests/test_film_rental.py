@@ -5,9 +5,9 @@ import random
 from decimal import Decimal
 
 import duckdb
-import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
 
 from tallyhouse.plans import film_rental
 from tallyhouse.sources.views import register_views
@@ -97,8 +97,8 @@ SQL = {
     """,
     "longest_rented_category": """
         WITH labels AS (
-            SELECT city_id, 'begins with a' AS bucket FROM city WHERE lower(city[1]) = 'a'
-            UNION ALL SELECT city_id, 'contains -' FROM city WHERE contains(city, '-')),
+            SELECT city_id, 'city begins with "a"' AS bucket FROM city WHERE lower(city[1]) = 'a'
+            UNION ALL SELECT city_id, 'city contains "-"' FROM city WHERE contains(city, '-')),
         sums AS (
             SELECT bucket, name,
                    SUM(trunc(epoch(return_date - rental_date) / 3600)) AS hours
@@ -111,16 +111,20 @@ SQL = {
 }
 
 
-def frames(spark, rows):
-    return {name: spark.createDataFrame(rows[name], schema) for name, schema in SCHEMAS.items()}
+ARROW = {"INT": pa.int32(), "STRING": pa.string(), "TIMESTAMP_NTZ": pa.timestamp("us"), "DECIMAL(5": pa.decimal128(5, 2)}
 
 
-def duck_answer(rows, query):
-    con = duckdb.connect()
-    for name, schema in SCHEMAS.items():
-        con.execute(f"CREATE TABLE {name} ({schema.replace('TIMESTAMP_NTZ', 'TIMESTAMP').replace('STRING', 'VARCHAR')})")
-        con.executemany(f"INSERT INTO {name} VALUES ({','.join('?' * len(rows[name][0]))})", rows[name])
-    return con.execute(query).fetchall()
+def frames(spark, rows, root):
+    """The tables as Parquet files, which give Spark their sizes."""
+    out = {}
+    for name, ddl in SCHEMAS.items():
+        fields = [part.split() for part in ddl.replace(",2)", "").split(", ")]
+        schema = pa.schema([(column, ARROW[kind]) for column, kind in fields])
+        columns = zip(*rows[name]) if rows[name] else [()] * len(fields)
+        path = str(root / f"{name}.parquet")
+        pq.write_table(pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema), path)
+        out[name] = spark.read.schema(ddl).parquet(path)
+    return out
 
 
 @pytest.fixture(scope="module")
@@ -129,8 +133,17 @@ def rows():
 
 
 @pytest.fixture(scope="module")
-def tables(spark, rows):
-    return frames(spark, rows)
+def tables(spark, rows, tmp_path_factory):
+    return frames(spark, rows, tmp_path_factory.mktemp("film_rental"))
+
+
+@pytest.fixture(scope="module")
+def answer(rows):
+    con = duckdb.connect()
+    for name, ddl in SCHEMAS.items():
+        con.execute(f"CREATE TABLE {name} ({ddl.replace('TIMESTAMP_NTZ', 'TIMESTAMP').replace('STRING', 'VARCHAR')})")
+        con.executemany(f"INSERT INTO {name} VALUES ({','.join('?' * len(rows[name][0]))})", rows[name])
+    return lambda name: con.execute(SQL[name]).fetchall()
 
 
 def same(got, want):
@@ -139,8 +152,8 @@ def same(got, want):
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
-def test_questions(tables, rows, name):
-    want = duck_answer(rows, SQL[name])
+def test_questions(tables, answer, name):
+    want = answer(name)
     assert want
     same(getattr(film_rental, name)(tables).collect(), want)
 
@@ -148,12 +161,12 @@ def test_questions(tables, rows, name):
 @pytest.mark.parametrize(
     "name", ["busiest_actors", "takings_per_category", "top_actors_in_category", "longest_rented_category"]
 )
-def test_same_answer_when_keys_are_split(tables, rows, name):
-    same(getattr(film_rental, name)(tables, hot_rows=1).collect(), duck_answer(rows, SQL[name]))
+def test_same_answer_when_keys_are_split(tables, answer, name):
+    same(getattr(film_rental, name)(tables, hot_rows=1).collect(), answer(name))
 
 
-def test_top_category(tables, rows):
-    best = max(duck_answer(rows, SQL["takings_per_category"]), key=lambda row: row[1])
+def test_top_category(tables, answer):
+    best = max(answer("takings_per_category"), key=lambda row: row[1])
     same(film_rental.top_category_by_takings(tables).collect(), [best])
 
 
@@ -169,20 +182,20 @@ def test_order_of_sorted_answers(tables):
 def test_city_in_both_buckets(tables):
     got = {tuple(r) for r in film_rental.city_buckets(tables).collect()}
     ids = {name: i for i, name in enumerate(CITIES, 1)}
-    assert (ids["Ash-Sham"], "begins with a") in got and (ids["Ash-Sham"], "contains -") in got
-    assert (ids["abha"], "begins with a") in got and (ids["Oslo"], "begins with a") not in got
+    assert (ids["Ash-Sham"], film_rental.BEGINS_WITH_A) in got and (ids["Ash-Sham"], film_rental.CONTAINS_DASH) in got
+    assert (ids["abha"], film_rental.BEGINS_WITH_A) in got and (ids["Oslo"], film_rental.BEGINS_WITH_A) not in got
 
 
-def test_sql_text_over_views(spark, tables, rows):
+def test_sql_text_over_views(spark, tables, answer):
     """A user's own SQL text runs on the registered tables."""
     register_views(tables)
     text = """
         SELECT title FROM film LEFT ANTI JOIN inventory ON inventory.film_id = film.film_id
     """
-    same(spark.sql(text).collect(), duck_answer(rows, SQL["films_without_copy"]))
+    same(spark.sql(text).collect(), answer("films_without_copy"))
 
 
-def test_unknown_durations_only(spark):
+def test_unknown_durations_only(spark, tmp_path):
     """A category whose rentals are all out has no hours and comes after one with hours."""
     rows = {name: [] for name in SCHEMAS}
     out = dt.datetime(2005, 6, 1)
@@ -192,8 +205,8 @@ def test_unknown_durations_only(spark):
     rows["inventory"] = [(1, 1), (2, 2)]
     rows["customer"], rows["address"], rows["city"] = [(1, 1, 1)], [(1, 1)], [(1, "Aa")]
     rows["rental"] = [(1, 1, 1, out, None), (2, 2, 1, out, out + dt.timedelta(hours=2))]
-    got = film_rental.longest_rented_category(frames(spark, rows)).collect()
-    assert [tuple(r) for r in got] == [("begins with a", "B back")]
+    got = film_rental.longest_rented_category(frames(spark, rows, tmp_path)).collect()
+    assert [tuple(r) for r in got] == [(film_rental.BEGINS_WITH_A, "B back")]
     rows["rental"] = rows["rental"][:1]
-    got = film_rental.longest_rented_category(frames(spark, rows)).collect()
-    assert [tuple(r) for r in got] == [("begins with a", "A never back")]
+    got = film_rental.longest_rented_category(frames(spark, rows, tmp_path)).collect()
+    assert [tuple(r) for r in got] == [(film_rental.BEGINS_WITH_A, "A never back")]

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from tallyhouse.plans import desk
+from tallyhouse.session import cluster_settings
 
 LAZY = [
     "category_item_counts", "top10_by_demand", "revenue_by_category", "top_category_by_revenue", "items_without_stock",
@@ -100,3 +101,10 @@ def test_package_does_not_collect_or_checkpoint_locally():
     calls = re.compile(r"\.(collect|toPandas|toLocalIterator|localCheckpoint|rdd|crossJoin|first|cache|persist)\(")
     found = {(p.name, m.group(1)) for p, text in sources.items() for m in calls.finditer(text)}
     assert found == {("silver.py", "collect"), ("checks.py", "toLocalIterator"), ("jdbc.py", "first")}
+
+
+def test_cluster_settings_fit_the_largest_shuffle():
+    large = cluster_settings(shuffle_bytes=20 * 2**40, cores=4_000)
+    assert int(large["spark.sql.shuffle.partitions"]) == 163_840
+    small = cluster_settings(shuffle_bytes=2**20, cores=64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128
