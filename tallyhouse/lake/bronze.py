@@ -17,16 +17,19 @@ log = logging.getLogger(__name__)
 MAX_FILE_ROWS = 1_000_000
 
 
-def write_days(df: DataFrame, path: str, fmt: str, mode: str = "overwrite", day: str = "load_date") -> None:
+def write_days(
+    df: DataFrame, path: str, fmt: str, mode: str = "overwrite", day: str = "load_date", gather: bool = True
+) -> None:
     """Writes by day. ``overwrite`` replaces the days present in ``df`` and leaves all others alone.
 
     The rebalance step gathers each day into few files, and adaptive execution divides a day that is
-    larger than its target size, so neither many small files nor one huge task comes out of it.
+    larger than its target size, so neither many small files nor one huge task comes out of it. Where
+    all rows belong to the same day, ``gather=False`` saves that shuffle.
     """
     log.info("writing %s to %s (%s)", fmt, path, mode)
+    rows = df.hint("rebalance", day) if gather else df
     (
-        df.hint("rebalance", day)
-        .write.mode(mode)
+        rows.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_FILE_ROWS)
         .options(**WRITE_OPTIONS[fmt])
@@ -37,21 +40,8 @@ def write_days(df: DataFrame, path: str, fmt: str, mode: str = "overwrite", day:
 
 
 def ingest_day(df: DataFrame, path: str, load_date: dt.date, fmt: str) -> None:
-    """Loads one day, replacing what an earlier run of the same day left.
-
-    All rows go to one folder, so the tasks that read them write them, without a shuffle.
-    """
-    log.info("loading %s into %s (%s)", load_date, path, fmt)
-    (
-        df.withColumn("load_date", F.lit(load_date).cast("date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_FILE_ROWS)
-        .options(**WRITE_OPTIONS[fmt])
-        .partitionBy("load_date")
-        .format(fmt)
-        .save(path)
-    )
+    """Loads one day, replacing what an earlier run of the same day left."""
+    write_days(df.withColumn("load_date", F.lit(load_date).cast("date")), path, fmt, gather=False)
 
 
 def land_tables(

@@ -31,9 +31,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return df.groupBy(*keys).agg(F.min(row).alias("_row")).select(*keys, "_row.*")
 
 
-def bronze_to_silver(bronze: DataFrame, silver_path: str, keys: Sequence[str], order: Sequence[str]) -> None:
+def bronze_to_silver(
+    bronze: DataFrame, silver_path: str, keys: Sequence[str], order: Sequence[str], one_day: bool = False
+) -> None:
     """Cleans and deduplicates whole days of bronze and replaces those days in silver.
 
     ``keys`` must contain ``load_date``: a day is then complete in itself.
     """
-    write_days(first_per_key(clean(bronze, keys), keys, order), silver_path, "parquet")
+    rows = first_per_key(clean(bronze, keys), keys, order)
+    write_days(rows, silver_path, "parquet", gather=not one_day)

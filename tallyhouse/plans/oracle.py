@@ -163,6 +163,12 @@ ORACLE = {
             WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND ts IS NOT NULL) placed
         WHERE place = 1
     """,
+    "silver_from_dumps": """
+        SELECT c_custkey, trim(c_name) AS c_name, c_nationkey, c_acctbal, trim(c_mktsegment) AS c_mktsegment,
+               '2024-01-15' AS load_date
+        FROM customer
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY c_name, c_nationkey, c_acctbal, c_mktsegment) = 1
+    """,
     "load_audit": """
         WITH rows AS (
             SELECT strftime(ts, '%Y-%m-%d') AS load_date, user_id, event_type,

@@ -25,6 +25,12 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "timestampNTZFormat": _MICROS,
 }
+# Values may hold line breaks, so a CSV file is read by one task: keep files bounded.
+READ_OPTIONS = {
+    "json": JSON_OPTIONS,
+    "csv": {**CSV_OPTIONS, "multiLine": "true", "enforceSchema": "false"},
+    "parquet": {},
+}
 WRITE_OPTIONS = {
     "json": JSON_OPTIONS,
     "csv": {**CSV_OPTIONS, "emptyValue": '""'},
@@ -46,30 +52,26 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataF
 
     A field that does not parse becomes null; judge bad rows by null required fields.
     """
-    return spark.read.schema(schema).options(**JSON_OPTIONS).json(path)
-
-
-def read_json_days(spark: SparkSession, path: str, schema: StructType | str, days: Iterable[dt.date]) -> DataFrame:
-    """Some days of a table laid out by ``load_date``; the folders of other days are not even listed."""
-    folders = [f"{path.rstrip('/')}/load_date={day.isoformat()}" for day in days]
-    return spark.read.schema(schema).options(**JSON_OPTIONS).option("basePath", path).json(folders)
+    return spark.read.schema(schema).options(**READ_OPTIONS["json"]).json(path)
 
 
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str, null_mark: str = CSV_OPTIONS["nullValue"]
 ) -> DataFrame:
-    """Header CSV. Values may hold line breaks, so a file is one unit of work: keep files bounded.
+    """Header CSV.
 
     Dumps made by a database's own CSV export leave null unmarked; pass ``null_mark=""`` for those.
     """
-    return (
-        spark.read.schema(schema)
-        .options(**CSV_OPTIONS)
-        .option("nullValue", null_mark)
-        .option("multiLine", "true")
-        .option("enforceSchema", "false")
-        .csv(path)
-    )
+    return spark.read.schema(schema).options(**READ_OPTIONS["csv"]).option("nullValue", null_mark).csv(path)
+
+
+def read_days(
+    spark: SparkSession, path: str, fmt: str, schema: StructType | str, days: Iterable[dt.date]
+) -> DataFrame:
+    """Some days of a table laid out by ``load_date``; the folders of other days are not even listed."""
+    folders = [f"{path.rstrip('/')}/load_date={day.isoformat()}" for day in days]
+    reader = spark.read.schema(schema).options(**READ_OPTIONS[fmt]).option("basePath", path)
+    return reader.format(fmt).load(folders)
 
 
 def read_dated_dumps(spark: SparkSession, root: str, table: str, schema: StructType | str) -> DataFrame:
@@ -79,9 +81,8 @@ def read_dated_dumps(spark: SparkSession, root: str, table: str, schema: StructT
     """
     dumps = (
         spark.read.schema(schema)
-        .options(**CSV_OPTIONS)
+        .options(**READ_OPTIONS["csv"])
         .option("nullValue", "")
-        .option("multiLine", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"{table}_[0-9][0-9][0-9][0-9]_[0-9][0-9]_[0-9][0-9].csv")
         .csv(root)
@@ -93,7 +94,7 @@ def read_dated_snapshots(spark: SparkSession, root: str, name: str, schema: Stru
     """Hand-laid snapshots ``root/<year>/<month>/<name>_<year>_<month>_<day>.json`` with their day."""
     snapshots = (
         spark.read.schema(schema)
-        .options(**JSON_OPTIONS)
+        .options(**READ_OPTIONS["json"])
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"{name}_[0-9][0-9][0-9][0-9]_[0-9][0-9]_[0-9][0-9].json")
         .json(root)

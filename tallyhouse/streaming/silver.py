@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tallyhouse.lake.silver import bronze_to_silver
-from tallyhouse.sources.files import JSON_OPTIONS, read_json_days
+from tallyhouse.sources.files import READ_OPTIONS, read_days
 
 log = logging.getLogger(__name__)
 
@@ -28,13 +28,14 @@ def refresh_silver(
     checkpoint: str,
     keys: Sequence[str],
     order: Sequence[str],
+    fmt: str = "json",
     files_per_batch: int | None = None,
 ) -> None:
     """Takes up all files landed since the last call and returns. ``schema`` includes ``load_date``.
 
     ``checkpoint`` remembers which files are done; use the same one on every call for a silver table.
     """
-    landed = spark.readStream.schema(schema).options(**JSON_OPTIONS)
+    landed = spark.readStream.format(fmt).schema(schema).options(**READ_OPTIONS[fmt])
     if files_per_batch is not None:
         landed = landed.option("maxFilesPerTrigger", files_per_batch)
 
@@ -43,10 +44,11 @@ def refresh_silver(
         days = [row[0] for row in batch.select("load_date").dropna().distinct().collect()]
         log.info("batch %d: %d day(s) to rebuild in %s", batch_id, len(days), silver)
         if days:
-            bronze_to_silver(read_json_days(batch.sparkSession, bronze, schema, days), silver, keys, order)
+            touched = read_days(batch.sparkSession, bronze, fmt, schema, days)
+            bronze_to_silver(touched, silver, keys, order, one_day=len(days) == 1)
 
     query = (
-        landed.json(bronze)
+        landed.load(bronze)
         .select("load_date")
         .writeStream.foreachBatch(rebuild)
         .option("checkpointLocation", checkpoint)

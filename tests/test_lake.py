@@ -243,6 +243,26 @@ def test_stream_in_small_batches(spark, tmp_path):
     assert len(feed.silver()) == 12 and feed.silver() == feed.batch()
 
 
+def test_table_dumps_reach_silver(spark, tmp_path):
+    """Two days of a table's full dump; the second dump is delivered twice."""
+    schema = "id INT, note STRING"
+    first = spark.createDataFrame([(1, "a\nb"), (1, "a\nb"), (2, ""), (None, "x")], schema)
+    second = spark.createDataFrame([(1, "new"), (3, None)], schema)
+
+    def job(df, day):
+        bronze.land_tables({"t": df}, str(tmp_path / "bronze"), "shop", day)
+        refresh_silver(
+            spark, str(tmp_path / "bronze/shop/t"), schemas.with_day(schema), str(tmp_path / "silver"),
+            str(tmp_path / "progress"), ["id", "load_date"], ["note"], fmt="csv",
+        )
+
+    for df, day in ((first, D1), (second, D2), (second, D2)):
+        job(df, day)
+    assert rows_of(spark.read.parquet(str(tmp_path / "silver")).select("id", "note", "load_date")) == [
+        (1, "a\nb", D1), (1, "new", D2), (2, "", D1), (3, None, D2),
+    ]
+
+
 def test_daily_job(spark, tmp_path):
     """Delivered file -> gate -> bronze -> silver, day by day, with a rerun and a day without data."""
     bronze_path, schema = str(tmp_path / "bronze"), schemas.with_day(schemas.OUT_OF_STOCK)
