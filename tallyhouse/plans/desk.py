@@ -340,15 +340,16 @@ def silver_from_dumps(spark: SparkSession, folder: str) -> DataFrame:
     """A table dump from bronze CSV to silver Parquet by the incremental step."""
     root = new_folder(spark, "dumps")
     bronze.land_tables({"customer": read_table(spark, folder, "customer")}, f"{root}/bronze", "desk", RELOADED_DAY)
+    schema = schemas.with_day(schemas.TABLES["customer"])
     refresh_silver(
-        spark, f"{root}/bronze/desk/customer", schemas.with_day(schemas.TABLES["customer"]), f"{root}/silver",
+        spark, f"{root}/bronze/desk/customer", schema, f"{root}/silver",
         f"{root}/progress", ["c_custkey", "load_date"], ["c_name"], fmt="csv",
     )
-    return spark.read.parquet(f"{root}/silver").withColumn("load_date", iso_day(F.col("load_date")))
+    return spark.read.schema(schema).parquet(f"{root}/silver").withColumn("load_date", iso_day(F.col("load_date")))
 
 
 def _silver_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(
+    return spark.read.schema(schemas.with_day(schemas.TABLES["events"])).parquet(path).select(
         "user_id", "event_type", iso_day(F.col("load_date")).alias("load_date"), "event_id", "value", "props"
     )
 
