@@ -80,3 +80,14 @@ def test_all_film_rental_tables():
 
 def test_password_is_not_shown():
     assert "pw" not in repr(DB)
+
+
+def test_tables_of_a_schema_are_listed(spark, monkeypatch):
+    catalog = spark.createDataFrame(
+        [("public", "orders"), ("public", "aisles"), ("pg_catalog", "pg_class")], "table_schema STRING, table_name STRING"
+    )
+    monkeypatch.setattr(Reader, "load", lambda self: self.log.append(self.set) or catalog)
+    session = Session()
+    got = jdbc.list_tables(session, DB)
+    assert sorted(r[0] for r in got.collect()) == ["aisles", "orders"]
+    assert session.log == [{**BASE, "dbtable": "information_schema.tables"}]
