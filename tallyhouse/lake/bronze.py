@@ -40,8 +40,26 @@ def write_days(
 
 
 def ingest_day(df: DataFrame, path: str, load_date: dt.date, fmt: str) -> None:
-    """Loads one day, replacing what an earlier run of the same day left."""
-    write_days(df.withColumn("load_date", F.lit(load_date).cast("date")), path, fmt, gather=False)
+    """Loads one day, replacing what an earlier run of the same day left.
+
+    The earlier rows stay until the new ones are complete, so a run that fails loses nothing.
+    """
+    if df.isEmpty():
+        clear_day(df, path, load_date, fmt)
+    else:
+        write_days(df.withColumn("load_date", F.lit(load_date).cast("date")), path, fmt, gather=False)
+
+
+def clear_day(df: DataFrame, path: str, load_date: dt.date, fmt: str) -> None:
+    """Leaves a day without rows, which a write that replaces only days present cannot do."""
+    log.info("no rows for %s in %s", load_date, path)
+    (
+        df.limit(0)
+        .write.mode("overwrite")
+        .options(**WRITE_OPTIONS[fmt])
+        .format(fmt)
+        .save(f"{path.rstrip('/')}/load_date={load_date.isoformat()}")
+    )
 
 
 def land_tables(

@@ -8,13 +8,17 @@ Late files are never lost, and a batch that runs twice, for instance after a fai
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyhouse.lake.silver import bronze_to_silver
+from tallyhouse.lake.bronze import clear_day
+from tallyhouse.lake.silver import bronze_to_silver, clean
 from tallyhouse.sources.files import READ_OPTIONS, read_days
 
 log = logging.getLogger(__name__)
@@ -33,23 +37,36 @@ def refresh_silver(
 ) -> None:
     """Takes up all files landed since the last call and returns. ``schema`` includes ``load_date``.
 
-    ``checkpoint`` remembers which files are done; use the same one on every call for a silver table.
+    ``checkpoint`` remembers which files are done; use the same one on every call for a silver table. A file
+    without any row says nothing about its day: the freshness gate belongs before the load.
     """
     landed = spark.readStream.format(fmt).schema(schema).options(**READ_OPTIONS[fmt])
     if files_per_batch is not None:
         landed = landed.option("maxFilesPerTrigger", files_per_batch)
 
+    usable = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
+
     def rebuild(batch: DataFrame, batch_id: int) -> None:
-        # Load dates only: their number is bounded by the calendar, not by the data.
-        days = [row[0] for row in batch.select("load_date").dropna().distinct().collect()]
+        # One row per load date: their number is bounded by the calendar, not by the data.
+        seen = batch.dropna(subset=["load_date"]).groupBy("load_date").agg(F.max(usable).alias("usable")).collect()
+        days = [row["load_date"] for row in seen]
         log.info("batch %d: %d day(s) to rebuild in %s", batch_id, len(days), silver)
-        if days:
-            touched = read_days(batch.sparkSession, bronze, fmt, schema, days)
-            bronze_to_silver(touched, silver, keys, order, one_day=len(days) == 1)
+        if not days:
+            return
+        touched = read_days(batch.sparkSession, bronze, fmt, schema, days)
+        bronze_to_silver(touched, silver, keys, order, one_day=len(days) == 1)
+        for row in seen:
+            if not row["usable"]:
+                clear_if_rejected(read_days(batch.sparkSession, bronze, fmt, schema, [row["load_date"]]), row["load_date"])
+
+    def clear_if_rejected(bronze_day: DataFrame, day: dt.date) -> None:
+        """A day whose rows were all replaced by unusable ones must not keep its earlier silver rows."""
+        if clean(bronze_day, keys).isEmpty():
+            clear_day(bronze_day.drop("load_date"), silver, day, "parquet")
 
     query = (
         landed.load(bronze)
-        .select("load_date")
+        .select(*keys)
         .writeStream.foreachBatch(rebuild)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

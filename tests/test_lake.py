@@ -95,6 +95,18 @@ def test_reload_replaces_one_day_only(spark, tmp_path, fmt):
     assert sorted(os.listdir(f"{path}/load_date={D2}")) == kept
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_reload_without_rows_empties_the_day(spark, tmp_path, fmt):
+    path, schema = str(tmp_path / fmt), schemas.with_day("id INT")
+    bronze.write_days(spark.createDataFrame([(1, D1), (3, D2)], schema), path, fmt)
+    bronze.ingest_day(spark.createDataFrame([], "id INT"), path, D1, fmt)
+    back = read_csv(spark, path, schema) if fmt == "csv" else spark.read.schema(schema).format(fmt).load(path)
+    assert rows_of(back) == [(3, D2)]
+    bronze.ingest_day(spark.createDataFrame([(4,)], "id INT"), path, D1, fmt)
+    back = read_csv(spark, path, schema) if fmt == "csv" else spark.read.schema(schema).format(fmt).load(path)
+    assert rows_of(back) == [(3, D2), (4, D1)]
+
+
 def test_one_day_reads_one_folder(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = schemas.with_day("id INT")
@@ -235,6 +247,22 @@ def test_stream_touches_only_days_with_new_files(spark, tmp_path):
     assert feed.silver() == feed.batch()
 
 
+def test_stream_clears_a_day_replaced_by_unusable_rows(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.land((1, "a", 5, D1), (2, "a", 5, D2))
+    feed.run()
+    feed.land((None, "a", 5, D2))
+    feed.run()
+    assert feed.silver() == [(1, "a", 5, D1), (2, "a", 5, D2)]
+    unusable = spark.createDataFrame([(None, "a", 5)], "product_id INT, store STRING, seen INT")
+    bronze.ingest_day(unusable, f"{tmp_path}/bronze", D1, "json")
+    feed.run()
+    assert feed.silver() == [(2, "a", 5, D2)]
+    feed.land((7, "a", 5, D1))
+    feed.run()
+    assert feed.silver() == [(2, "a", 5, D2), (7, "a", 5, D1)]
+
+
 def test_stream_in_small_batches(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     for i in range(4):
