@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 import __spark_entry__ as contract
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = {name: contract.queries()[name] for name in contract.CORE}
+ORACLE = {name: sql for name, sql in contract.oracle_sql().items() if name in QUERIES}
 KIND = {
     T.StringType: "VARCHAR", T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE",
     T.BooleanType: "BOOLEAN", T.DateType: "DATE",
