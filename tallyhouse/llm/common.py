@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +52,26 @@ def crc32_of_id(column: str | Column) -> Column:
     return F.crc32(column.cast("string").cast("binary"))
 
 
+def shared(spark: SparkSession, value) -> Callable[[], object]:
+    """A function that gives ``value`` in any task. It is broadcast once, and a Python worker that runs several tasks
+    makes it once, so that the memos in it last; a worker keeps the last two such values only.
+
+    It travels as bytes, which need no import of this library where the workers run.
+    """
+    sent, name = spark.sparkContext.broadcast(cloudpickle.dumps(value)), uuid.uuid4().hex
+
+    def get():
+        made = sys.modules.setdefault("_worker_values", types.ModuleType("_worker_values")).__dict__
+        own = made.setdefault("values", {})
+        if name not in own:
+            while len(own) > 1:
+                del own[next(iter(own))]
+            own[name] = cloudpickle.loads(sent.value)
+        return own[name]
+
+    return get
+
+
 class Memo(dict):
     """``compute`` with a bounded memory: when it is full, entries not used since the last time go."""
 

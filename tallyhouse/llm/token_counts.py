@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import MEMO_ENTRIES, Memo, free_name, read
+from tallyhouse.llm.common import MEMO_ENTRIES, Memo, free_name, read, shared
 
 # The split pattern of byte-level vocabularies, and white space as the tokenizer library has it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -118,11 +118,11 @@ def load_counter(path: str) -> TokenCounter:
 
 def token_count(spark: SparkSession, text: Column, path: str | None = None) -> Column:
     """Tokens of each text as a long; a null or empty text has none. The merges are broadcast: one vocabulary file."""
-    shared = spark.sparkContext.broadcast(load_counter(path or default_vocabulary()))
+    the_counter = shared(spark, load_counter(path or default_vocabulary()))
 
     @F.pandas_udf("long")
     def counts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = shared.value
+        counter = the_counter()
         for texts in batches:
             yield pd.Series([counter.count(text) if text else 0 for text in texts], dtype="int64")
 
