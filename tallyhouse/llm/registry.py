@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from tallyhouse.llm import simhash, token_counts
+from tallyhouse.llm import (
+    decontamination, embedding_dedup, language_id, packing, secret_scans, simhash, token_counts, toxicity,
+)
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_token_counts": token_counts.op2_token_counts,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_secret_scans": secret_scans.op4_secret_scans,
+    "op5_embedding_near_dedup": embedding_dedup.op5_embedding_near_dedup,
+    "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op4_secret_scans": secret_scans.ORACLE,
+    "op7_benchmark_decontamination": decontamination.ORACLE,
+}
