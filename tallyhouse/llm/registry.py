@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tallyhouse.llm import (
-    decontamination, embedding_dedup, language_id, packing, secret_scans, simhash, token_counts, toxicity,
+    decontamination, embedding_dedup, language_id, license_scans, packing, secret_scans, simhash,
+    token_counts, toxicity, warc,
 )
 
 QUERIES = {
@@ -12,12 +13,15 @@ QUERIES = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_secret_scans": secret_scans.op4_secret_scans,
     "op5_embedding_near_dedup": embedding_dedup.op5_embedding_near_dedup,
+    "op6_license_scans": license_scans.op6_license_scans,
     "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
+    "op10_warc": warc.op10_warc,
 }
 
 ORACLE = {
     "op4_secret_scans": secret_scans.ORACLE,
+    "op6_license_scans": license_scans.ORACLE,
     "op7_benchmark_decontamination": decontamination.ORACLE,
 }
