@@ -43,7 +43,7 @@ _blanks = re.compile(r"[^\S\n]+")
 def page_text(page: str) -> str:
     """The text of a page: no markup, scripts or comments; entities resolved; a line for each block that has text."""
     parts = _tag.split(_hidden.sub(" ", page))
-    out = [parts[0]]
+    out = [parts[0].replace("\n", " ")]
     for name, text in zip(parts[1::2], parts[2::2]):
         if name and name.lower() in _LINE:
             out.append("\n")

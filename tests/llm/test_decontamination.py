@@ -1,0 +1,81 @@
+import random
+import re
+
+import duckdb
+import pytest
+
+from tallyhouse.llm import decontamination as D
+
+
+def shingles(text, k):
+    words = re.findall(r"\w+", (text or "").lower())
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
+
+
+def brute(docs, items, least=0.8):
+    found = []
+    for item_id, item in set(items):
+        k = min(5, len(re.findall(r"\w+", (item or "").lower())))
+        own = shingles(item, k) if k else set()
+        for doc_id, text in docs:
+            common = len(own & shingles(text, k)) if own else 0
+            if own and common >= least * len(own) - 1e-9:
+                found.append((doc_id, item_id, common, len(own), common / len(own)))
+    return sorted(found, key=str)
+
+
+def got(docs, items, **settings):
+    return sorted(map(tuple, D.contaminated(docs, items, **settings).collect()), key=str)
+
+
+def bench(spark, items):
+    return spark.createDataFrame([(*i, "y") for i in items], "item_id long, text string, item string")
+
+
+def test_query_equals_sql(spark, folder):
+    con = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
+    rows = sorted(map(tuple, D.op7_benchmark_decontamination(spark, folder).collect()))
+    assert rows and rows == sorted(con.execute(D.ORACLE).fetchall())
+
+
+@pytest.mark.parametrize("per_block", [20_000, 3])
+def test_partial_and_scattered_items(spark, make, per_block):
+    """Items of all sizes, whole, cut, altered and dealt over a long document."""
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 3, 4, 5, 6, 9, 14, 25, 60])))) for i in range(30)]
+    docs = []
+    for i in range(120):
+        words = []
+        for _ in range(rng.randint(0, 3)):
+            item = rng.choice(items)[1].split()
+            cut = rng.randint(0, max(1, len(item) // 3))
+            part = item[cut:] if rng.random() < 0.5 else item[: len(item) - cut]
+            if part and rng.random() < 0.3:
+                part[rng.randrange(len(part))] = "altered"
+            if rng.random() < 0.3 and len(part) > 12:  # in two places
+                part = [*part[:8], "between", *part[4:]]
+            words += [*rng.choices(vocabulary, k=rng.randint(0, 40)), *part]
+        docs.append((i, ", ".join(words).upper()))
+    want = brute(docs, items)
+    assert {round(r[4], 1) for r in want} >= {0.8, 0.9, 1.0}
+    assert got(make(docs), bench(spark, items), items_per_block=per_block) == want
+
+
+def test_rows_columns_and_names(spark, make):
+    items = [(1, "one two three four five six"), (1, "one two three four five six"), (2, ""), (3, None), (None, "x y"), (4, "é 漢")]
+    rows = [(1, "zero ONE two, three four five six"), (1, "zero ONE two, three four five six"), (2, None), (3, ""), (None, "a x y b"), (5, "É_ é 漢 " * 50_000)]
+    df = make(rows, extra=("_items", "m"))
+    assert got(df, bench(spark, items)) == brute(rows, items)
+    kept = D.decontaminated(df, bench(spark, items))
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
+    assert got(df.limit(0), bench(spark, items)) == []
+    assert got(df, bench(spark, [])) == [] and D.decontaminated(df, bench(spark, [])).count() == 6
+
+
+def test_bad_bound(spark, make):
+    with pytest.raises(ValueError, match="containment"):
+        got(make([(1, "a")]), bench(spark, [(1, "a")]), least=0)

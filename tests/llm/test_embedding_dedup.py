@@ -1,0 +1,114 @@
+import math
+
+import numpy as np
+import pytest
+
+from tallyhouse.llm import embedding_dedup as E
+from test_common import brute_components
+
+
+def brute(rows, least=0.98):
+    """(links, component) by position of (vec_id, vector, label)."""
+    def usable(v):
+        return v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    n, pairs = [0] * len(rows), []
+    for i, (_, a, la) in enumerate(rows):
+        for j in range(i):
+            _, b, lb = rows[j]
+            if la is None or la != lb or not usable(a) or not usable(b) or len(a) != len(b):
+                continue
+            x, y = np.array(a, np.float64), np.array(b, np.float64)
+            if x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= least:
+                n[i] += 1
+                n[j] += 1
+                pairs.append((j, i))
+    return n, pairs
+
+
+def expected(rows, least=0.98):
+    n, pairs = brute(rows, least)
+    group = {i: i for i in range(len(rows))} | brute_components(pairs)
+    ids = {}
+    for i, g in group.items():
+        if rows[i][0] is not None:
+            ids[g] = min(ids.get(g, rows[i][0]), rows[i][0])
+    return sorted(
+        ((-1 if rows[i][0] is None else rows[i][0]), n[i], ids.get(group[i], -1), rows[i][0] is not None and rows[i][0] == ids.get(group[i]))
+        for i in range(len(rows))
+    )
+
+
+def found(df, **settings):
+    rows = E.near_duplicates(df, **settings).collect()
+    return sorted((-1 if r["vec_id"] is None else r["vec_id"], r["n_links"], -1 if r["component_id"] is None else r["component_id"], r["kept"]) for r in rows)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, label int, id string")
+
+
+def planted(seed, copies, noise, dimension=16):
+    """Vectors in clusters, some close and some far, with labels."""
+    random = np.random.default_rng(seed)
+    rows = []
+    for cluster, n in enumerate(copies):
+        centre = random.standard_normal(dimension)
+        for _ in range(n):
+            v = (centre + noise * random.standard_normal(dimension) * np.linalg.norm(centre) / math.sqrt(dimension)).astype(np.float32)
+            rows.append((len(rows), [float(x) for x in v], cluster % 3))
+    return rows
+
+
+@pytest.mark.parametrize("block_rows", [2_048, 30])
+def test_dense_cluster_is_counted_exactly(spark, block_rows):
+    rows = planted(1, [120, 5, 1, 1, 7], 0.01)
+    assert found(frame(spark, rows), block_rows=block_rows) == expected(rows)
+
+
+def test_recall_at_the_threshold_and_nothing_below_it(spark):
+    rows = planted(2, [3] * 150, 0.135)  # many cosines just above and just below
+    n, pairs = brute(rows)
+    got = found(frame(spark, rows))
+    want = {vec_id: links for vec_id, links, _, _ in expected(rows)}
+    assert len(pairs) > 50
+    assert all(links <= want[vec_id] for vec_id, links, _, _ in got)
+    assert sum(links for _, links, _, _ in got) >= 0.95 * 2 * len(pairs)
+
+
+def test_query_on_the_table(spark, folder):
+    table = spark.read.parquet(f"{folder}/embeddings.parquet")
+    rows = [tuple(r) for r in table.select("vec_id", "embedding", "label").collect()]
+    got = sorted(map(tuple, E.op5_embedding_near_dedup(spark, folder).collect()))
+    assert len(got) == len(rows)
+    total = sum(brute(rows)[0])
+    assert sum(r[1] for r in got) >= 0.9 * total
+
+
+ODD = [
+    (1, [1.0, 0.0], 1),
+    (2, [2.0, 0.0], 1),
+    (2, [2.0, 0.0], 1),
+    (3, [1.0, 0.0], 2),
+    (4, [1.0, 0.0], None),
+    (5, None, 1),
+    (6, [], 1),
+    (7, [0.0, -0.0], 1),
+    (8, [1.0, None], 1),
+    (9, [1.0, float("nan")], 1),
+    (10, [1.0, float("inf")], 1),
+    (None, [0.0, 1.0], 1),
+    (None, [0.0, 1.0], 1),
+    (11, [1.0, 0.0, 0.0], 1),
+    (12, [1e-30, 0.0], 1),
+]
+
+
+def test_odd_vectors(spark):
+    assert found(frame(spark, ODD)) == expected(ODD)
+    assert found(frame(spark, ODD).limit(0)) == []
+
+
+def test_bad_threshold(spark):
+    with pytest.raises(ValueError, match="cosine"):
+        E.near_duplicates(frame(spark, ODD), least=0)

@@ -1,0 +1,85 @@
+import zlib
+
+import pytest
+
+from tallyhouse.llm import language_id as L
+
+ENTRIES = [(0, "the", 0, 8), (0, "haus", 1, 2), (0, "der", 1, 6), (3, " ha", 1, 4), (3, "ing", 0, 4), (1, "x", 0, 1), (1, "z", 1, 1)]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return L.LanguageModel(["en", "de"], ENTRIES, 3, 7.0)
+
+
+@pytest.fixture(scope="module")
+def fitted(docs):
+    return L.fit(L.learnable(docs))
+
+
+def test_held_out_documents_are_told_apart(spark, folder, docs):
+    got = L.op1_language_id(spark, folder).collect()
+    lang = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    assert len(got) == len(lang)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    held_out = [r for r in got if r["held_out"]]
+    assert len(held_out) > 100
+    assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held_out) >= 0.99 * len(held_out)
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_words_first_then_shorter_grams(model):
+    assert model.score("the").tolist() == pytest.approx([0.0, 7.0], abs=1e-6)
+    assert model.score("hax").tolist() == pytest.approx([7.0, 0.0], abs=1e-6)  # " ha" is known, "x" is not asked
+    assert model.score("x").tolist() == pytest.approx([0.0, 7.0], abs=1e-6)
+    assert model.score("qqq").tolist() == [7.0, 7.0]
+    assert model.score("²") is None
+
+
+def test_frequencies_are_relative_to_the_language():
+    model = L.LanguageModel(["a", "b"], [(0, "u", 0, 1), (0, "v", 0, 9), (0, "u", 1, 5), (0, "w", 1, 5)], 1, 7.0)
+    assert model.score("u").tolist() == pytest.approx([1.0, 0.30103], abs=1e-4)
+
+
+def test_no_letter_is_undetermined(model):
+    assert [model.predict(t) for t in (None, "", " 12 ²½ !?")] == [("und", 0.0)] * 3
+    assert model.predict("the the 12") [0] == "en"
+
+
+def test_unknown_script_is_an_even_guess(model):
+    assert model.predict("漢字") == ("en", 0.5)
+
+
+def test_very_long_word_and_text(fitted):
+    assert fitted.predict("a" * 300_000)[0] in fitted.languages
+    assert fitted.predict("the and of " * 200_000)[0] == "en"
+
+
+def test_rows_columns_and_names(make, fitted):
+    rows = [(1, "the and of to in"), (1, "the and of to in"), (None, "the and of"), (2, None), (3, "")]
+    df = make(rows, extra=("score", "_language", "lang_pred"))
+    got = L.identify(df, fitted).collect()
+    assert sorted(r["lang_pred"] for r in got) == ["en", "en", "en", "und", "und"]
+    assert {r["_language"] for r in got} == {"x1"}
+    kept = L.accepted(df, fitted)
+    assert kept.columns == df.columns and kept.count() == 3
+    assert L.identify(df.limit(0), fitted).count() == 0
+
+
+def test_nothing_to_learn_from(make):
+    for rows in ([], [(1, "the"), (2, None)], [(1, None, "en")]):
+        model = L.fit(L.learnable(make(rows)))
+        assert model.predict("the") == ("und", 0.0)
+
+
+def test_labels_and_held_out_rows_do_not_count(make):
+    rows = [(i, "alpha beta alpha beta", "aa") if zlib.crc32(str(i).encode()) % 4 == 2 else (i, "alpha beta gamma", "bb") for i in range(40)]
+    model = L.fit(L.learnable(make([*rows, (None, "alpha", "cc")])))
+    assert model.languages == ["bb"]
+
+
+def test_sample_and_model_are_bounded(docs):
+    small = L.Settings(rows_per_language=3, chars_per_language=2_000, entries_per_length=50, entries=1_000)
+    model = L.fit(L.learnable(docs), small)
+    assert len(model.table) <= 1_000
+    assert all(len(known) <= 50 * len(model.languages) for known in model.known)

@@ -1,0 +1,130 @@
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tallyhouse.llm import packing as P
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(P.default_vocabulary())
+
+
+def ids_of(library, text):
+    return P.pack_ids([*library.encode(text or "", add_special_tokens=False).ids, 0])
+
+
+def check_sequences(rows, capacity=2048):
+    """Gapless from 0 and within the capacity; gives the number of sequences."""
+    by_sequence = defaultdict(list)
+    for row in rows:
+        by_sequence[row["sequence_id"]].append((row["offset"], row["length"]))
+    for places in by_sequence.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(by_sequence)
+
+
+def test_query_packs_every_piece_tightly(spark, folder, texts, library):
+    rows = P.op3_best_fit_packing(spark, folder).collect()
+    total = 0
+    by_doc = defaultdict(list)
+    for row in rows:
+        by_doc[row["doc_id"]].append(row)
+    assert by_doc.keys() == texts.keys()
+    for doc_id, text in texts.items():
+        ids = ids_of(library, text)
+        total += len(ids) // 4
+        pieces = sorted(by_doc[doc_id], key=lambda r: r["piece"])
+        assert [r["piece"] for r in pieces] == list(range(-(-len(ids) // 8192)))
+        for i, row in enumerate(pieces):
+            part = ids[8192 * i : 8192 * (i + 1)]
+            assert (row["start"], row["length"], row["ids_crc32"]) == (2048 * i, len(part) // 4, zlib.crc32(part))
+    assert check_sequences(rows) <= 1.01 * -(-total // 2048)
+
+
+def sizes_frame(spark, sizes):
+    return spark.createDataFrame(list(enumerate(sizes)), "id long, size int")
+
+
+def packed_sizes(spark, sizes, rows_per_range, capacity=2048):
+    items = sizes_frame(spark, sizes).repartition(3).withColumn("id", F.col("id"))
+    got = P.best_fit(items, capacity, rows_per_range).collect()
+    assert sorted(r["id"] for r in got) == list(range(len(sizes)))
+    return check_sequences([{"sequence_id": r["seq"], "offset": r["offset"], "length": sizes[r["id"]]} for r in got], capacity)
+
+
+@pytest.mark.parametrize("rows_per_range", [100_000, 60, 7])
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        [random.Random(1).randint(1, 2047) for _ in range(400)],
+        [random.Random(2).choice([1, 2, 3, 30]) for _ in range(400)],
+        [700] * 90 + [1300] * 60 + [48] * 100,
+        [1] * 500,
+        [1025] * 40,
+        [2048] * 5 + [2047] * 5 + [1],
+    ],
+    ids=["even", "tiny", "triples", "ones", "halves", "full"],
+)
+def test_few_sequences_whatever_the_ranges(spark, sizes, rows_per_range):
+    n = packed_sizes(spark, sizes, rows_per_range)
+    assert n <= best_fit_decreasing(sizes) * 1.1 + 1
+
+
+def best_fit_decreasing(sizes, capacity=2048):
+    gaps = []
+    for size in sorted(sizes, reverse=True):
+        fitting = [g for g in gaps if g >= size]
+        if fitting:
+            gaps.remove(min(fitting))
+            gaps.append(min(fitting) - size)
+        else:
+            gaps.append(capacity - size)
+    return len(gaps)
+
+
+def test_matches_across_ranges():
+    ranges = [
+        {"part": 0, "items": 0, "largest": None, "gaps": 2, "smallest": 1000},
+        {"part": 1, "items": 1, "largest": 900, "gaps": 1, "smallest": 450},
+        {"part": 2, "items": 5, "largest": 400, "gaps": 0, "smallest": None},
+    ]
+    # The smallest gap large enough first; two documents of 400 to a gap of 1000.
+    assert P._across(ranges) == [(1, 0, 0, 0, 1, 1), (2, 0, 0, 1, 0, 1), (2, 1, 2, 0, 0, 2)]
+
+
+def test_encoder_is_the_library(library):
+    encoder = P.Encoder(open(P.default_vocabulary(), encoding="utf-8").read())
+    rng = random.Random(3)
+    alphabet = [*"ab 's't\n\t\x1c\x85\xa0é漢1²'ll_-<😀́ΣσİÉß", "<|endoftext|>", "The", "That,", " it's"]
+    for _ in range(3_000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25)))
+        assert encoder.ids(text) + P.pack_ids([0]) == ids_of(library, text), repr(text)
+
+
+def test_real_sequences(make, library):
+    rows = [(1, "a b c " * 900), (2, "x"), (3, None), (4, "")]
+    df = make(rows)
+    placed = P.pack(df)
+    sequences = {r["sequence_id"]: bytes(r["ids"]) for r in P.packed(df, placed).collect()}
+    for row in placed.collect():
+        ids = ids_of(library, dict((r[0], r[1]) for r in rows)[row["doc_id"]])
+        part = ids[4 * row["start"] : 4 * (row["start"] + row["length"])]
+        assert sequences[row["sequence_id"]][4 * row["offset"] :].startswith(part)
+
+
+def test_rows_columns_and_names(make):
+    df = make([(1, "a"), (1, "a"), (None, "b"), (2, None), (3, "word " * 100_000)], extra=("seq", "size", "id"))
+    got = P.pack(df).collect()
+    assert sorted(r["doc_id"] or 0 for r in got if r["piece"] == 0) == [0, 1, 1, 2, 3]
+    assert sum(r["length"] for r in got if r["doc_id"] == 3) == 100_001
+    check_sequences(got)
+    assert P.pack(df.limit(0)).count() == 0

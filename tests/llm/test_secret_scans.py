@@ -1,0 +1,109 @@
+import hashlib
+import re
+
+import duckdb
+import pytest
+
+from tallyhouse.llm import secret_scans as S
+
+KEYWORD = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "(password|passwd|secret|token|api_?key)")
+PATTERNS = [
+    ("assign", re.compile(KEYWORD + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 6),
+    ("access", re.compile("AKIA[A-Z0-9]+"), 0, 20),
+    ("hex", re.compile("[0-9a-f]+"), 0, 24),
+]
+HEX = "0123456789abcdef" * 3
+
+
+def brute(text):
+    found = [
+        (m.start(), kind, m.end())
+        for kind, (_, pattern, group, least) in enumerate(PATTERNS)
+        for m in pattern.finditer(text or "")
+        if len(m.group(group)) >= least
+    ]
+    return sorted(found)
+
+
+HARD = [
+    "",
+    None,
+    'token = "' + HEX + '"',
+    "token=token: abcdefgh",  # the short match uses up its text
+    "api_key:'abc' APIKEY=abcdef passWD==abcdefg",
+    "AKIAAKIA" + "B" * 20 + " AKIA123 AKIAB",
+    "é漢😀 secret: \n secret: abcdef😀 " + HEX,
+    HEX + HEX[:3] + "g" + HEX,
+    "paſſword=abcdefgh ſecret=abcdefgh toKen=abcdefgh",
+    "x" * 200_000 + " password=hunter22 " + "y" * 200_000,
+]
+
+
+def spans(rows, key="path"):
+    return {r[key]: [tuple(s) for s in r["spans"]] for r in rows}
+
+
+def test_hard_texts(make):
+    got = spans(S.scan_secrets(make(list(enumerate(HARD)))).collect())
+    assert got == {i: brute(t) for i, t in enumerate(HARD)}
+    assert sum(map(len, got.values())) >= 9
+
+
+def test_query_equals_brute_force_and_sql(spark, folder, texts):
+    got = sorted(map(tuple, S.op4_secret_scans(spark, folder).collect()))
+    want = []
+    for doc_id, text in texts.items():
+        found = brute(text)
+        named = ",".join(f"{PATTERNS[k][0]}:{a}:{b}" for a, k, b in found)
+        counts = [sum(k == kind for _, k, _ in found) for kind in range(3)]
+        want.append((doc_id, *counts, hashlib.sha256(named.encode()).hexdigest(), named))
+    assert got == sorted(want)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet')")
+    assert sorted(con.execute(S.ORACLE).fetchall()) == got
+
+
+def test_plan_runs_no_python(spark, folder, capsys):
+    S.op4_secret_scans(spark, folder).explain()
+    assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_only_unseen_blobs_and_rule_versions_are_scanned(spark, make, tmp_path):
+    ledger = S.Ledger(spark, f"file://{tmp_path}/ledger")
+    first = make([(1, HARD[2]), (2, HARD[2]), (3, "plain")])
+    assert spans(S.scan_secrets(first, ledger).collect())[2] == brute(HARD[2])
+    assert ledger.scanned().count() == 6  # two blobs, three rules
+    before = spark.read.parquet(f"{ledger.path}/findings").count()
+    later = make([(1, HARD[2]), (4, HARD[7]), (5, HARD[7])])
+    assert spans(S.scan_secrets(later, ledger).collect()) == {1: brute(HARD[2]), 4: brute(HARD[7]), 5: brute(HARD[7])}
+    assert ledger.scanned().count() == 9
+    assert spark.read.parquet(f"{ledger.path}/findings").count() == before + len(brute(HARD[7]))
+    newer = [*S.RULES[:2], S.Rule("hex", "[0-9a-f]+", 0, 40, "[0-9a-f]{40}", version=2)]
+    assert len(spans(S.scan_secrets(later, ledger, newer).collect())[1]) == 2
+    assert ledger.scanned().filter("version = 2").count() == 2
+
+
+def test_copies_are_scanned_once_and_rows_kept(make):
+    rows = [(1, HARD[2])] * 3 + [(None, HARD[2]), (None, None), (2, "")]
+    df = make(rows, extra=("blob", "path", "spans"))
+    got = S.scan_secrets(df).collect()
+    assert sorted(len(r["spans"]) for r in got) == [0, 0, 2, 2, 2, 2]
+    assert S.scan_secrets(df.limit(0)).count() == 0
+
+
+def test_masked(make):
+    df = make([*enumerate(HARD), (None, "token=abcdefgh")], extra=("blob", "cuts", "_cuts", "_blob"))
+    got = S.masked(df).collect()
+    assert S.masked(df).columns == df.columns and len(got) == len(HARD) + 1
+    for row in got:
+        text = "token=abcdefgh" if row["doc_id"] is None else HARD[row["doc_id"]]
+        want, at = "", 0
+        for start, _, end in brute(text):
+            if start >= at:
+                want += text[at:start] + S.MASK
+            at = max(at, end)
+        want = None if text is None else want + text[at:]
+        assert row["text"] == want
+        assert row["n_chars"] == (None if want is None else len(want))
+        assert row["blob"] == "x0"
+    assert S.masked(df.limit(0)).count() == 0

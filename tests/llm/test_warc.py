@@ -1,0 +1,99 @@
+import json
+from html.parser import HTMLParser
+from pathlib import Path
+
+import pytest
+
+from tallyhouse.llm import warc as W
+
+
+class PlainText(HTMLParser):
+    """The words of a page by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.words, self.hidden = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style")
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("script", "style")
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.words.append(data)
+
+
+PAGES = [
+    ('<title>A &amp; B</title><p class="x>y">one<br>two <b>bo</b>ld</p><!-- no <p>x</p> --><script>var t="</p>";</script>end', "A & B\none\ntwo bold\nend"),
+    ("<p>a<p>b < c &lt;d&gt; &copy; &#233;", "a\nb < c <d> © é"),
+    ("<script>never closed <p>x", ""),
+    ("plain\n\n text", "plain text"),
+    ("<a href='/x?a=1&amp;b'>l</a> <a href=/y>m</a><style>p{}</style>", "l m"),
+    ("", ""),
+    ("<p title=\"unclosed>" * 2_000, None),
+    ("<" * 50_000, "<" * 50_000),
+]
+
+
+@pytest.mark.parametrize("page, text", PAGES, ids=range(len(PAGES)))
+def test_page_text(page, text):
+    got = W.page_text(page)
+    assert text is None or got == text
+
+
+def test_title_and_links():
+    assert W.page_facts(PAGES[0][0]) == {"title": "A & B", "links": []}
+    assert W.page_facts(PAGES[4][0]) == {"title": None, "links": ["/x?a=1&b", "/y"]}
+
+
+def test_records_of_the_table_round_trip(spark, folder, tmp_path):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    records = W.op10_warc(spark, folder)
+    rows = records.collect()
+    assert len(rows) == 2 * len(pages)
+    W.write(records, f"file://{tmp_path}/warc")
+    parsed = {}
+    for file in Path(tmp_path, "warc").glob("part-*"):
+        for headers, block in W.parse(file.read_bytes()):
+            assert headers["WARC-Record-ID"] not in parsed
+            parsed[headers["WARC-Record-ID"]] = headers, block
+    assert len(parsed) == len(rows)
+    for row in rows:
+        headers, block = parsed[row["record_id"]]
+        page = pages[row["page_id"]]
+        assert headers == row["headers"] and block.decode() == row["block"]
+        assert headers["WARC-Block-Digest"] == W.digest(block) == row["block_digest"]
+        assert int(headers["Content-Length"]) == len(block) == row["content_length"]
+        assert headers["WARC-Refers-To"] == row["refers_to"] and headers["WARC-Target-URI"] == page["url"]
+        assert row["source_payload_digest"] == W.digest(page["html"].encode())
+        if row["record_type"] == "metadata":
+            source = json.loads(block)["source"]
+            assert source["WARC-Record-ID"] == row["refers_to"] and source["headers"] == {"Content-Type": "text/html; charset=utf-8"}
+        else:
+            parser = PlainText()
+            parser.feed(page["html"])
+            assert "".join(row["block"].split()) == "".join("".join(parser.words).split())
+    assert len({r["refers_to"] for r in rows}) == len(pages)
+
+
+def test_rows_columns_and_names(spark):
+    schema = "key long, record_id string, target_uri string, date string, headers map<string,string>, payload string, block string"
+    rows = [
+        (1, "<urn:x>", "http://a/", "2020-01-02T03:04:05Z", {"Server": "s", "Content-Type": "text/html"}, "<p>é\r\nb", "z"),
+        (1, "<urn:x>", "http://a/", "2020-01-02T03:04:05Z", {"Server": "s", "Content-Type": "text/html"}, "<p>é\r\nb", "z"),
+        (None, None, None, None, None, None, None),
+        (2, None, "http://b/", None, {}, "", None),
+        (3, None, "http://c/", None, {}, "<p>word</p>" * 50_000, None),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = W.build(df).collect()
+    assert len(got) == 10
+    first = [r for r in got if r["refers_to"] == "<urn:x>"]
+    assert len(first) == 4 and len({r["record_id"] for r in first}) == 2
+    meta = json.loads(next(r for r in first if r["record_type"] == "metadata")["block"])
+    assert meta["source"]["headers"] == {"Content-Type": "text/html", "Server": "s"}
+    assert next(r for r in first if r["record_type"] == "conversion")["headers"]["WARC-Refers-To-Date"] == "2020-01-02T03:04:05Z"
+    assert all("WARC-Target-URI" not in r["headers"] for r in got if r["key"] is None)
+    assert W.build(df.limit(0)).count() == 0
