@@ -4,17 +4,30 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
-from tallyhouse.sources.files import WRITE_OPTIONS
+from tallyhouse.sources import jdbc
+from tallyhouse.sources.files import WRITE_OPTIONS, marked
 
 log = logging.getLogger(__name__)
 
 # Multi-line CSV and array JSON are read one file per task, so no file may grow with the table.
 MAX_FILE_ROWS = 1_000_000
+# Days left without rows, as a table below the bronze table; readers of the table pass names that begin like this over.
+CLEARED = "_cleared"
+CLEARED_SCHEMA = "load_date DATE"
+
+
+class LandingError(RuntimeError):
+    """Tables that could not be landed; the others were. ``failed`` has the error of each by name."""
+
+    def __init__(self, source: str, failed: Mapping[str, Exception]):
+        super().__init__(f"{source}: not landed: {', '.join(failed)}")
+        self.failed = dict(failed)
 
 
 def write_days(
@@ -27,9 +40,10 @@ def write_days(
     all rows belong to the same day, ``gather=False`` saves that shuffle.
     """
     log.info("writing %s to %s (%s)", fmt, path, mode)
-    rows = df.hint("rebalance", day) if gather else df
+    rows = marked(df) if fmt == "csv" else df
     (
-        rows.write.mode(mode)
+        (rows.hint("rebalance", day) if gather else rows)
+        .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_FILE_ROWS)
         .options(**WRITE_OPTIONS[fmt])
@@ -42,32 +56,82 @@ def write_days(
 def ingest_day(df: DataFrame, path: str, load_date: dt.date, fmt: str) -> None:
     """Loads one day, replacing what an earlier run of the same day left.
 
-    The earlier rows stay until the new ones are complete, so a run that fails loses nothing.
+    The earlier rows stay until the new ones are complete, so a run that fails loses nothing. ``df`` is evaluated
+    once: its rows are counted as they are written.
     """
-    if df.isEmpty():
+    written = Observation()
+    rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    write_days(rows.withColumn("load_date", F.lit(load_date).cast("date")), path, fmt, gather=False)
+    if not written.get["rows"]:
         clear_day(df, path, load_date, fmt)
-    else:
-        write_days(df.withColumn("load_date", F.lit(load_date).cast("date")), path, fmt, gather=False)
 
 
 def clear_day(df: DataFrame, path: str, load_date: dt.date, fmt: str) -> None:
-    """Leaves a day without rows, which a write that replaces only days present cannot do."""
+    """Leaves a day without rows, which a write that replaces only days present cannot do, and notes the day.
+
+    No new file tells a stream of this, so ``refresh_silver`` looks at the notes.
+    """
     log.info("no rows for %s in %s", load_date, path)
+    root = path.rstrip("/")
     (
         df.limit(0)
         .write.mode("overwrite")
         .options(**WRITE_OPTIONS[fmt])
         .format(fmt)
-        .save(f"{path.rstrip('/')}/load_date={load_date.isoformat()}")
+        .save(f"{root}/load_date={load_date.isoformat()}")
     )
+    note = df.sparkSession.range(1, numPartitions=1).select(F.lit(load_date).cast("date").alias("load_date"))
+    note.write.mode("append").parquet(f"{root}/{CLEARED}")
 
 
-def land_tables(
-    tables: Mapping[str, DataFrame], path: str, source: str, load_date: dt.date, fmt: str = "csv"
-) -> None:
-    """Copies whole tables to ``path/<source>/<table>/load_date=<day>``.
+def format_for(df: DataFrame, fmt: str) -> str:
+    """``fmt``, or JSON where that is CSV and a column holds an array, map or record."""
+    nested = any(isinstance(f.dataType, (ArrayType, MapType, StructType)) for f in df.schema.fields)
+    return "json" if fmt == "csv" and nested else fmt
 
-    A failed table raises, so the day is not taken as loaded; running the day again replaces it.
+
+def land_tables(
+    tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+    path: str,
+    source: str,
+    load_date: dt.date,
+    fmt: str = "csv",
+) -> dict[str, str]:
+    """Copies whole tables to ``path/<source>/<table>/load_date=<day>``; the format each was written in.
+
+    A table may be given as a function that opens it. One that fails does not keep the others from landing; in the
+    end a failure raises ``LandingError``, so the day is not taken as loaded. Running it again replaces it.
     """
-    for name, df in tables.items():
-        ingest_day(df, f"{path}/{source}/{name}", load_date, fmt)
+    formats: dict[str, str] = {}
+    failed: dict[str, Exception] = {}
+    for name, table in tables.items():
+        try:
+            df = table() if callable(table) else table
+            formats[name] = format_for(df, fmt)
+            ingest_day(df, f"{path}/{source}/{name}", load_date, formats[name])
+        except Exception as error:
+            log.exception("%s.%s was not landed", source, name)
+            failed[name] = error
+    if failed:
+        raise LandingError(source, failed)
+    return formats
+
+
+def land_database(
+    spark: SparkSession,
+    db: jdbc.Database,
+    path: str,
+    source: str,
+    load_date: dt.date,
+    schema: str = "public",
+    keys: Mapping[str, str] | None = None,
+    fmt: str = "csv",
+) -> dict[str, str]:
+    """Lists the tables of a database schema and lands each, as ``land_tables`` does. ``keys`` divide the reads."""
+    names = sorted(row["table_name"] for row in jdbc.list_tables(spark, db, schema).toLocalIterator())
+    log.info("%s: %d table(s)", source, len(names))
+
+    def opened(name: str) -> Callable[[], DataFrame]:
+        return lambda: jdbc.read_table(spark, db, name, (keys or {}).get(name))
+
+    return land_tables({name: opened(name) for name in names}, path, source, load_date, fmt)

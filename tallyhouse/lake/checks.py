@@ -8,6 +8,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from tallyhouse.lake.silver import present
 
 log = logging.getLogger(__name__)
 
@@ -17,11 +20,15 @@ class MissingLoadError(RuntimeError):
 
 
 def missing_days(spark: SparkSession, df: DataFrame, day: str, first: dt.date, last: dt.date) -> DataFrame:
-    """The days from first to last, both included, without any row."""
+    """The days from first to last, both included, without any row.
+
+    Only rows of these days are read where the table is laid out, or its files sorted, by day.
+    """
     expected = spark.range(1).select(
         F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 day"))).alias(day)
     )
-    return expected.join(df.select(day).distinct(), day, "left_anti")
+    loaded = df.filter(F.col(day).between(F.lit(first), F.lit(last)))
+    return expected.join(loaded.select(day).distinct(), day, "left_anti")
 
 
 def require_day(df: DataFrame, load_date: dt.date, name: str, day: str = "load_date") -> None:
@@ -36,13 +43,17 @@ def require_day(df: DataFrame, load_date: dt.date, name: str, day: str = "load_d
 def load_audit(df: DataFrame, keys: Sequence[str], day: str = "load_date") -> DataFrame:
     """Per day: rows in, distinct keys, duplicates, rejects; rows_in is the sum of the other three.
 
-    A row with a null in any key is a reject. Rows are first counted per (day, key), so a day or key
-    that holds most of the table is reduced before it moves.
+    Keys are trimmed and rejected as ``silver.clean`` does, and so is a row without a day: rows_distinct is what the
+    silver layer keeps of the day. Rows are first counted per (day, key), so a day or key that holds most of the
+    table is reduced before it moves.
     """
-    per_key = df.groupBy(day, *keys).agg(F.count("*").alias("_rows"))
-    valid = F.lit(True)
+    trimmed = df.select(
+        day, *[F.trim(key).alias(key) if isinstance(df.schema[key].dataType, StringType) else key for key in keys]
+    )
+    per_key = trimmed.groupBy(day, *keys).agg(F.count("*").alias("_rows"))
+    valid = F.col(day).isNotNull()
     for key in keys:
-        valid = valid & F.col(key).isNotNull()
+        valid = valid & present(trimmed, key)
     rows = F.col("_rows")
     return per_key.groupBy(day).agg(
         F.sum(rows).alias("rows_in"),

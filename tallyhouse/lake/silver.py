@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -12,23 +12,37 @@ from tallyhouse.lake.bronze import write_days
 
 
 def clean(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Strings trimmed; rows without a required value rejected. Types are set by the schema of the read."""
+    """Strings trimmed; rows rejected whose required value is missing or a blank string.
+
+    Types are set by the schema of the read.
+    """
     trimmed = df.withColumns(
         {f.name: F.trim(f.name) for f in df.schema.fields if isinstance(f.dataType, StringType)}
     )
     for name in required:
-        trimmed = trimmed.filter(F.col(name).isNotNull())
+        trimmed = trimmed.filter(present(trimmed, name))
     return trimmed
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """True where a trimmed column has a value; never null."""
+    known = F.col(name).isNotNull()
+    return known & (F.col(name) != "") if isinstance(df.schema[name].dataType, StringType) else known
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the lowest by ``order``, and by the remaining columns where that is equal.
 
-    An aggregate and not a window: repeats of a busy key shrink to one row per task before the shuffle.
+    A known value comes before null in every column. An aggregate and not a window: repeats of a busy key shrink to
+    one row per task before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    row = F.struct(*order, *rest)
-    return df.groupBy(*keys).agg(F.min(row).alias("_row")).select(*keys, "_row.*")
+    values = [*order, *rest]
+    ranked = [part for i, c in enumerate(values) for part in (F.col(c).isNull().alias(f"no{i}"), F.col(c).alias(f"v{i}"))]
+    if not ranked:
+        return df.select(*keys).distinct()
+    first = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_row"))
+    return first.select(*keys, *[F.col(f"_row.v{i}").alias(c) for i, c in enumerate(values)])
 
 
 def bronze_to_silver(

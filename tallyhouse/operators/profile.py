@@ -6,13 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 2) -> DataFrame:
     """One row per column: non-null count, mean, sample standard deviation, minimum, maximum.
 
-    All columns are measured in one pass; only the single result row is turned into rows afterwards.
+    Without ``columns``, every numeric column of the table. All columns are measured in one pass; only the single
+    result row is turned into rows afterwards.
     """
+    if columns is None:
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    if not columns:
+        raise ValueError("there is no numeric column to measure")
     stats = F.array(
         *[
             F.struct(

@@ -7,6 +7,7 @@ a part plays the film, its brand the category, a supplier the actor, and line it
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,6 @@ TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
-SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part")
 EVENT_KEYS = ("user_id", "event_type", "load_date")
 FIRST_DAY = dt.date(2024, 1, 1)
 LAST_EXPECTED_DAY = dt.date(2024, 2, 2)
@@ -96,10 +96,14 @@ def _as_revenue(amounts: DataFrame) -> DataFrame:
 def revenue_by_category(spark: SparkSession, folder: str) -> DataFrame:
     """Revenue per brand, largest first, as SQL text over a view with the order given by position."""
     revenue = _brand_revenue(spark, folder, read_table(spark, folder, "lineitem"))
-    register_views({"brand_revenue": revenue})
-    return spark.sql(
-        "SELECT name AS p_brand, CAST(amount AS DOUBLE) AS revenue FROM brand_revenue ORDER BY 2 DESC NULLS LAST, 1"
-    )
+    view = f"brand_revenue_{uuid.uuid4().hex}"
+    register_views({view: revenue})
+    try:
+        return spark.sql(
+            f"SELECT name AS p_brand, CAST(amount AS DOUBLE) AS revenue FROM {view} ORDER BY 2 DESC NULLS LAST, 1"
+        )
+    finally:
+        spark.catalog.dropTempView(view)  # the name is resolved by now
 
 
 def top_category_by_revenue(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,11 +134,12 @@ def items_without_stock(spark: SparkSession, folder: str) -> DataFrame:
 def top3_in_category_with_ties(spark: SparkSession, folder: str) -> DataFrame:
     """Suppliers by number of parts of one brand, all ties up to rank 3.
 
-    Pairs are made distinct before the join: that shuffle is by part and supplier, so a part that fills
-    much of the table shrinks in the map tasks and is spread over all others.
+    Only whether a part is of the brand matters, so it is a semi join: where the brand's parts are few enough to be
+    broadcast, Spark filters line items by them before the distinct, and the shuffle carries one brand. Otherwise pairs
+    are made distinct first: by part and supplier, so a part that fills much of the table shrinks in the map tasks.
     """
     films = _brands(spark, folder).filter(F.col("name") == "Brand#7").select("film_id")
-    appearances = _pairs(read_table(spark, folder, "lineitem")).join(films, "film_id")
+    appearances = _pairs(read_table(spark, folder, "lineitem")).join(films, "film_id", "left_semi")
     top = star.top_actors_in_category(appearances, _suppliers(spark, folder), 3)
     return top.select(
         F.col("actor_id").alias("s_suppkey"), F.col("actor_name").alias("s_name"),
@@ -253,9 +258,10 @@ def json_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def profile_numeric(spark: SparkSession, folder: str) -> DataFrame:
-    orders = numeric_profile(read_table(spark, folder, "orders"), ["o_totalprice"], 2)
-    lines = numeric_profile(read_table(spark, folder, "lineitem"), ["l_extendedprice", "l_quantity"], 2)
-    return orders.unionByName(lines)
+    """Every numeric column of orders and of line items."""
+    return numeric_profile(read_table(spark, folder, "orders")).unionByName(
+        numeric_profile(read_table(spark, folder, "lineitem"))
+    )
 
 
 # --- Bronze and silver ------------------------------------------------------------------------------
@@ -290,13 +296,15 @@ def bronze_csv_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def landed_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Several tables of one source landed in full for a day; rows of each as read back."""
+    """Every table of a source landed in full for a day; rows of each as read back."""
     root = new_folder(spark, "bronze-source")
-    bronze.land_tables(read_tables(spark, folder, SOURCE_TABLES), root, "desk", RELOADED_DAY)
-    back = {
-        name: read_csv(spark, f"{root}/desk/{name}", schemas.with_day(schemas.TABLES[name])) for name in SOURCE_TABLES
-    }
-    return table_sizes(back)
+    formats = bronze.land_tables(read_tables(spark, folder, TABLES), root, "desk", RELOADED_DAY)
+    return table_sizes({name: _landed(spark, root, "desk", name, fmt) for name, fmt in formats.items()})
+
+
+def _landed(spark: SparkSession, root: str, source: str, name: str, fmt: str) -> DataFrame:
+    read = {"csv": read_csv, "json": read_json}[fmt]
+    return read(spark, f"{root}/{source}/{name}", schemas.with_day(schemas.TABLES[name]))
 
 
 def bronze_partition_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,11 +327,10 @@ def bronze_partition_counts(spark: SparkSession, folder: str) -> DataFrame:
 def incremental_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     """All days are loaded, then one day again with every value raised by one; the others stay as they were."""
     path = new_folder(spark, "bronze-events-reload")
-    days = _events(spark, folder).select("event_id", "value", "load_date")
-    bronze.write_days(days, path, "csv")
+    bronze.write_days(_events(spark, folder), path, "csv")
     reload = read_table(spark, folder, "events").filter(within_day(F.col("ts"), RELOADED_DAY))
-    bronze.ingest_day(reload.select("event_id", (F.col("value") + 1).alias("value")), path, RELOADED_DAY, "csv")
-    back = read_csv(spark, path, days.schema)
+    bronze.ingest_day(reload.withColumn("value", F.col("value") + 1), path, RELOADED_DAY, "csv")
+    back = read_csv(spark, path, schemas.with_day(schemas.TABLES["events"]))
     return back.groupBy(iso_day(F.col("load_date")).alias("load_date")).agg(
         F.count("*").alias("row_count"), total_of_doubles(F.col("value")).cast("double").alias("value_sum")
     )
@@ -375,7 +382,9 @@ def load_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def missing_load_days(spark: SparkSession, folder: str) -> DataFrame:
-    gaps = checks.missing_days(spark, _events(spark, folder), "load_date", FIRST_DAY, LAST_EXPECTED_DAY)
+    start, end = (F.lit(d).cast("timestamp_ntz") for d in (FIRST_DAY, LAST_EXPECTED_DAY + dt.timedelta(days=1)))
+    window = _events(spark, folder).filter((F.col("ts") >= start) & (F.col("ts") < end))
+    gaps = checks.missing_days(spark, window, "load_date", FIRST_DAY, LAST_EXPECTED_DAY)
     return gaps.select(iso_day(F.col("load_date")).alias("load_date"))
 
 
@@ -384,16 +393,14 @@ def table_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def multi_source_union(spark: SparkSession, folder: str) -> DataFrame:
-    """Accounts of two sources, customers and suppliers, landed by the same code and read as one table."""
+    """Two sources, customers and suppliers, their whole tables landed by the same code, and their accounts as one."""
     root = new_folder(spark, "bronze-accounts")
-    schema = "account BIGINT, name STRING, balance DOUBLE"
     columns = {"customer": ("c_custkey", "c_name", "c_acctbal"), "supplier": ("s_suppkey", "s_name", "s_acctbal")}
     landed = []
     for source, names in columns.items():
-        accounts = read_table(spark, folder, source).select(*names).toDF("account", "name", "balance")
-        bronze.land_tables({"accounts": accounts}, root, source, RELOADED_DAY)
-        back = read_csv(spark, f"{root}/{source}/accounts", schemas.with_day(schema))
-        landed.append(back.withColumn("source", F.lit(source)))
+        formats = bronze.land_tables({source: read_table(spark, folder, source)}, root, source, RELOADED_DAY)
+        accounts = _landed(spark, root, source, source, formats[source]).select(*names).toDF("account", "name", "balance")
+        landed.append(accounts.withColumn("source", F.lit(source)))
     return landed[0].unionByName(landed[1]).groupBy("source").agg(
         F.count("*").alias("row_count"), total_of_doubles(F.col("balance")).cast("double").alias("balance_sum")
     )

@@ -76,11 +76,11 @@ def takings_per_category(t: Tables, hot_rows: int = HOT_ROWS) -> DataFrame:
     per_rental = t["payment"].groupBy("rental_id").agg(total(F.col("amount")).alias("amount"))
     per_copy = (
         t["rental"].select("rental_id", "inventory_id").join(per_rental, "rental_id")
-        .groupBy("inventory_id").agg(F.sum("amount").alias("amount"))
+        .groupBy("inventory_id").agg(total(F.col("amount")).alias("amount"))
     )
     takings = (
         per_copy.join(t["inventory"].select("inventory_id", "film_id"), "inventory_id")
-        .groupBy("film_id").agg(F.sum("amount").alias("amount"))
+        .groupBy("film_id").agg(total(F.col("amount")).alias("amount"))
         .join(_film_ids(t), "film_id")
     )
     return star.takings_per_category(_placed(t), takings, hot_rows=hot_rows)

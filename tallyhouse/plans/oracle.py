@@ -116,19 +116,6 @@ ORACLE = {
                n_nationkey, n_name, n_regionkey
         FROM nation
     """,
-    "profile_numeric": """
-        SELECT 'o_totalprice' AS column_name, COUNT(o_totalprice) AS count, ROUND(AVG(o_totalprice), 2) AS mean,
-               ROUND(STDDEV_SAMP(o_totalprice), 2) AS stddev, MIN(o_totalprice) AS min, MAX(o_totalprice) AS max
-        FROM orders
-        UNION ALL
-        SELECT 'l_extendedprice', COUNT(l_extendedprice), ROUND(AVG(l_extendedprice), 2),
-               ROUND(STDDEV_SAMP(l_extendedprice), 2), MIN(l_extendedprice), MAX(l_extendedprice)
-        FROM lineitem
-        UNION ALL
-        SELECT 'l_quantity', COUNT(l_quantity), ROUND(AVG(l_quantity), 2),
-               ROUND(STDDEV_SAMP(l_quantity), 2), MIN(l_quantity), MAX(l_quantity)
-        FROM lineitem
-    """,
     "bronze_json_roundtrip": """
         SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props,
                strftime(ts, '%Y-%m-%d') AS load_date
@@ -160,7 +147,7 @@ ORACLE = {
                    ROW_NUMBER() OVER (PARTITION BY user_id, trim(event_type), CAST(ts AS DATE)
                                       ORDER BY event_id) AS place
             FROM events
-            WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND ts IS NOT NULL) placed
+            WHERE user_id IS NOT NULL AND coalesce(trim(event_type), '') <> '' AND ts IS NOT NULL) placed
         WHERE place = 1
     """,
     "silver_from_dumps": """
@@ -171,8 +158,8 @@ ORACLE = {
     """,
     "load_audit": """
         WITH rows AS (
-            SELECT strftime(ts, '%Y-%m-%d') AS load_date, user_id, event_type,
-                   user_id IS NOT NULL AND event_type IS NOT NULL AS valid
+            SELECT strftime(ts, '%Y-%m-%d') AS load_date, user_id, trim(event_type) AS event_type,
+                   ts IS NOT NULL AND user_id IS NOT NULL AND coalesce(trim(event_type), '') <> '' AS valid
             FROM events)
         SELECT load_date, COUNT(*) AS rows_in,
                COUNT(DISTINCT CASE WHEN valid THEN (user_id, event_type) END) AS rows_distinct,
@@ -212,4 +199,24 @@ ORACLE["table_catalog"] = _sizes(
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
     " conversations"
 )
-ORACLE["landed_tables"] = _sizes("region nation customer supplier part")
+ORACLE["landed_tables"] = ORACLE["table_catalog"]
+
+
+def _profile(table: str, names: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, COUNT({c}) AS count, ROUND(AVG({c}), 2) AS mean,"
+        f" ROUND(STDDEV_SAMP({c}), 2) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max"
+        f" FROM {table}"
+        for c in names.split()
+    )
+
+
+ORACLE["profile_numeric"] = "\nUNION ALL\n".join(
+    [
+        _profile("orders", "o_orderkey o_custkey o_totalprice"),
+        _profile(
+            "lineitem",
+            "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax",
+        ),
+    ]
+)

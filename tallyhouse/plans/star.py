@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.money import total
 from tallyhouse.operators.counting import distinct_where, rows_and_distinct
 from tallyhouse.operators.joining import HOT_ROWS, salted_join, without_match
 from tallyhouse.operators.ranking import first_in_group, top_k, top_k_with_ties
@@ -69,7 +70,7 @@ def takings_per_category(
         spent = placed.join(takings, "film_id")
     else:
         spent = salted_join(placed, takings, "film_id", "category_id", hot_rows)
-    return spent.groupBy("name").agg(F.sum("amount").alias("amount"))
+    return spent.groupBy("name").agg(total(F.col("amount")).alias("amount"))
 
 
 def films_without_copy(film: DataFrame, copies: DataFrame) -> DataFrame:

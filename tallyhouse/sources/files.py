@@ -7,37 +7,53 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tallyhouse.sources import schemas
 
-# The default time format keeps milliseconds only.
+# The default time formats keep milliseconds only. Readers need none: without a format they take
+# microseconds and zones as they come.
 _MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-JSON_OPTIONS = {"timestampNTZFormat": _MICROS}
+_TIMES = {"timestampNTZFormat": _MICROS, "timestampFormat": _MICROS + "XXX", "timeZone": "UTC"}
+NULL_MARK = "\\N"
 # A quote inside a value is doubled. Null has its own mark, because an unmarked null and an empty string
 # are read back as the same thing.
 CSV_OPTIONS = {
     "header": "true",
     "escape": '"',
-    "nullValue": "\\N",
+    "nullValue": NULL_MARK,
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "timestampNTZFormat": _MICROS,
 }
 # Values may hold line breaks, so a CSV file is read by one task: keep files bounded.
 READ_OPTIONS = {
-    "json": JSON_OPTIONS,
+    "json": {},
     "csv": {**CSV_OPTIONS, "multiLine": "true", "enforceSchema": "false"},
     "parquet": {},
 }
 WRITE_OPTIONS = {
-    "json": JSON_OPTIONS,
-    "csv": {**CSV_OPTIONS, "emptyValue": '""'},
+    "json": _TIMES,
+    "csv": {**CSV_OPTIONS, **_TIMES, "emptyValue": '""'},
     "parquet": {},
 }
 
 
+def marked(df: DataFrame) -> DataFrame:
+    """Texts that would read as the null mark get one backslash more: \\N, and those that look like it then."""
+    return _each_text(df, lambda c: F.when(c.rlike(r"^\\+N\z"), F.concat(F.lit("\\"), c)).otherwise(c))
+
+
+def unmarked(df: DataFrame) -> DataFrame:
+    """What ``marked`` changed, as it was."""
+    return _each_text(df, lambda c: F.when(c.rlike(r"^\\{2,}N\z"), F.substring(c, 2, 2**31 - 1)).otherwise(c))
+
+
+def _each_text(df: DataFrame, change) -> DataFrame:
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    return df.withColumns({name: change(F.col(f"`{name}`")) for name in texts}) if texts else df
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of the desk. Its schema is given, so nothing is read before the query runs."""
     return spark.read.schema(schemas.TABLES[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -55,14 +71,14 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataF
     return spark.read.schema(schema).options(**READ_OPTIONS["json"]).json(path)
 
 
-def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str, null_mark: str = CSV_OPTIONS["nullValue"]
-) -> DataFrame:
-    """Header CSV.
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, null_mark: str = NULL_MARK) -> DataFrame:
+    """Header CSV, as the bronze layer writes it.
 
-    Dumps made by a database's own CSV export leave null unmarked; pass ``null_mark=""`` for those.
+    Dumps made by a database's own CSV export leave null unmarked; pass ``null_mark=""`` for those. Only the bronze
+    layer's own mark is known to be escaped in texts; with any other, texts are taken as they stand.
     """
-    return spark.read.schema(schema).options(**READ_OPTIONS["csv"]).option("nullValue", null_mark).csv(path)
+    rows = spark.read.schema(schema).options(**READ_OPTIONS["csv"]).option("nullValue", null_mark).csv(path)
+    return unmarked(rows) if null_mark == NULL_MARK else rows
 
 
 def read_days(
@@ -71,18 +87,24 @@ def read_days(
     """Some days of a table laid out by ``load_date``; the folders of other days are not even listed."""
     folders = [f"{path.rstrip('/')}/load_date={day.isoformat()}" for day in days]
     reader = spark.read.schema(schema).options(**READ_OPTIONS[fmt]).option("basePath", path)
-    return reader.format(fmt).load(folders)
+    rows = reader.format(fmt).load(folders)
+    return unmarked(rows) if fmt == "csv" else rows
 
 
-def read_dated_dumps(spark: SparkSession, root: str, table: str, schema: StructType | str) -> DataFrame:
+def read_dated_dumps(
+    spark: SparkSession, root: str, table: str, schema: StructType | str, multi_line: bool = True
+) -> DataFrame:
     """Hand-laid dumps ``root/<year>/<month>/<day>/<table>_<year>_<month>_<day>.csv`` with their day.
 
-    The day comes from the file name, whatever the depth of the folders above it.
+    The day comes from the file name, whatever the depth of the folders above it. A dump is one file, and with
+    ``multi_line`` one task reads it, because a line break may stand inside a value. Where no value holds one, pass
+    ``multi_line=False``: a file of any size is then read by as many tasks as it has splits.
     """
     dumps = (
         spark.read.schema(schema)
         .options(**READ_OPTIONS["csv"])
         .option("nullValue", "")
+        .option("multiLine", str(multi_line).lower())
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"{table}_[0-9][0-9][0-9][0-9]_[0-9][0-9]_[0-9][0-9].csv")
         .csv(root)

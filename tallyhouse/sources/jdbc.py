@@ -5,8 +5,10 @@ Connection settings come from the caller; none are stored here. The driver's jar
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,13 +45,18 @@ def read_table(spark: SparkSession, db: Database, table: str, key: str | None =
         if span is not None and span[0] is not None:
             reader = reader.options(
                 partitionColumn=key,
-                lowerBound=str(span[0]),
-                upperBound=str(span[1]),
+                lowerBound=_bound(span[0], math.floor),
+                upperBound=_bound(span[1], math.ceil),
                 numPartitions=str(db.connections),
             )
     return reader.option("dbtable", table).load()
 
 
+def _bound(value, rounded) -> str:
+    """Numbers as whole ones, whatever type the database gives them in; dates and times as they are written."""
+    return str(rounded(value)) if isinstance(value, (int, float, Decimal)) else str(value)
+
+
 def list_tables(spark: SparkSession, db: Database, schema: str = "public") -> DataFrame:
     """Names of the tables in one database schema, as ``table_name``."""
     catalog = spark.read.format("jdbc").options(**db.reader_options())

@@ -4,6 +4,9 @@ A stateful deduplication would keep every key in memory, send all copies of a bu
 drop rows older than its watermark. A key contains its load date here, so a new file can only change its own
 day: the stream tells which days have new files, and those days are rebuilt from bronze and replaced.
 Late files are never lost, and a batch that runs twice, for instance after a failure, gives the same table.
+
+The stream only notes the days, batch by batch. When it has taken up everything, each noted day is rebuilt once,
+however many files and batches it came in; a call that fails before that leaves its notes to the next.
 """
 
 from __future__ import annotations
@@ -11,18 +14,20 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyhouse.lake.bronze import clear_day
+from tallyhouse import workdir
+from tallyhouse.lake.bronze import CLEARED, CLEARED_SCHEMA, clear_day
 from tallyhouse.lake.silver import bronze_to_silver, clean
-from tallyhouse.sources.files import READ_OPTIONS, read_days
+from tallyhouse.sources.files import READ_OPTIONS, read_days, unmarked
 
 log = logging.getLogger(__name__)
 
+_NOTES = "load_date DATE, usable BOOLEAN"
+
 
 def refresh_silver(
     spark: SparkSession,
@@ -37,39 +42,73 @@ def refresh_silver(
 ) -> None:
     """Takes up all files landed since the last call and returns. ``schema`` includes ``load_date``.
 
-    ``checkpoint`` remembers which files are done; use the same one on every call for a silver table. A file
-    without any row says nothing about its day: the freshness gate belongs before the load.
+    ``checkpoint`` remembers which files are done; use the same one on every call for a silver table. A day that the
+    bronze layer was left without rows (``clear_day``) is emptied in silver too. A file without any row says nothing
+    about its day: the freshness gate belongs before the load.
     """
     landed = spark.readStream.format(fmt).schema(schema).options(**READ_OPTIONS[fmt])
     if files_per_batch is not None:
         landed = landed.option("maxFilesPerTrigger", files_per_batch)
+    notes = f"{checkpoint.rstrip('/')}-days"
 
-    usable = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
-
-    def rebuild(batch: DataFrame, batch_id: int) -> None:
-        # One row per load date: their number is bounded by the calendar, not by the data.
-        seen = batch.dropna(subset=["load_date"]).groupBy("load_date").agg(F.max(usable).alias("usable")).collect()
-        days = [row["load_date"] for row in seen]
-        log.info("batch %d: %d day(s) to rebuild in %s", batch_id, len(days), silver)
-        if not days:
-            return
-        touched = read_days(batch.sparkSession, bronze, fmt, schema, days)
-        bronze_to_silver(touched, silver, keys, order, one_day=len(days) == 1)
-        for row in seen:
-            if not row["usable"]:
-                clear_if_rejected(read_days(batch.sparkSession, bronze, fmt, schema, [row["load_date"]]), row["load_date"])
-
-    def clear_if_rejected(bronze_day: DataFrame, day: dt.date) -> None:
-        """A day whose rows were all replaced by unusable ones must not keep its earlier silver rows."""
-        if clean(bronze_day, keys).isEmpty():
-            clear_day(bronze_day.drop("load_date"), silver, day, "parquet")
+    def note(batch: DataFrame, batch_id: int) -> None:
+        """One row per load date; a batch that runs again replaces its own."""
+        rows = unmarked(batch) if fmt == "csv" else batch
+        sound = clean(rows, keys).groupBy("load_date").agg(F.lit(True).alias("usable"))
+        seen = rows.dropna(subset=["load_date"]).select("load_date").distinct().join(sound, "load_date", "left")
+        seen.coalesce(1).write.mode("overwrite").parquet(f"{notes}/batch={batch_id}")
 
     query = (
         landed.load(bronze)
         .select(*keys)
-        .writeStream.foreachBatch(rebuild)
+        .writeStream.foreachBatch(note)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    _rebuild(spark, bronze, schema, silver, notes, keys, order, fmt)
+
+
+def _rebuild(spark, bronze, schema, silver, notes, keys, order, fmt) -> None:
+    batches = workdir.folders_in(spark, notes)
+    # The days noted since the last call: their number is bounded by the calendar, not by the data.
+    noted: dict[dt.date, bool] = {}
+    if batches:
+        rows = spark.read.schema(_NOTES).parquet(*[f"{notes}/{batch}" for batch in batches])
+        noted = {r["load_date"]: bool(r["usable"]) for r in rows.groupBy("load_date").agg(F.max("usable").alias("usable")).collect()}
+    present = {name.partition("=")[2] for name in workdir.folders_in(spark, silver)}
+    cleared = _cleared_days(spark, bronze)
+    doubtful = [day for day, usable in noted.items() if not usable]
+    doubtful += [day for day in cleared if day not in noted and day.isoformat() in present]
+    if noted:
+        log.info("%d day(s) to rebuild in %s", len(noted), silver)
+        touched = read_days(spark, bronze, fmt, schema, noted)
+        bronze_to_silver(touched, silver, keys, order, one_day=len(noted) == 1)
+    if doubtful:
+        # All of them in one pass: a day whose rows were all replaced by unusable ones, or by none, is emptied.
+        rows = clean(read_days(spark, bronze, fmt, schema, doubtful), keys).select("load_date").distinct()
+        full = {r["load_date"] for r in rows.toLocalIterator()}
+        for day in sorted(set(doubtful) - full):
+            _empty(spark, silver, day, schema)
+    for batch in batches:
+        workdir.remove(spark, f"{notes}/{batch}")
+
+
+def _cleared_days(spark: SparkSession, bronze: str) -> list[dt.date]:
+    if CLEARED not in workdir.folders_in(spark, bronze):
+        return []
+    rows = spark.read.schema(CLEARED_SCHEMA).parquet(f"{bronze.rstrip('/')}/{CLEARED}").distinct()
+    return [row["load_date"] for row in rows.toLocalIterator()]
+
+
+def _empty(spark: SparkSession, silver: str, day: dt.date, schema: StructType | str) -> None:
+    """Removes a day's folder; the last one left stays as an empty table, so that silver can still be read."""
+    folder = f"load_date={day.isoformat()}"
+    days = [name for name in workdir.folders_in(spark, silver) if name.startswith("load_date=")]
+    if folder in days and len(days) > 1:
+        log.info("no rows for %s in %s", day, silver)
+        workdir.remove(spark, f"{silver.rstrip('/')}/{folder}")
+    elif folder in days:
+        nothing = spark.createDataFrame([], schema).drop("load_date")
+        clear_day(nothing, silver, day, "parquet")

@@ -1,6 +1,7 @@
 """JDBC reads, by the options they hand to Spark. No database is started for a test."""
 
 import datetime as dt
+from decimal import Decimal
 
 from tallyhouse.plans.film_rental import TABLE_KEYS
 from tallyhouse.sources import jdbc
@@ -63,6 +64,12 @@ def test_dates_divide_a_read_too():
     assert session.log[1]["lowerBound"] == "2022-01-01" and session.log[1]["upperBound"] == "2022-03-01"
 
 
+def test_numbers_bound_a_read_as_whole_ones():
+    session = Session((Decimal("5.000"), Decimal("99.500")))
+    jdbc.read_table(session, DB, "orders", "id")
+    assert session.log[1]["lowerBound"] == "5" and session.log[1]["upperBound"] == "100"
+
+
 def test_no_key_or_an_empty_table_is_one_read():
     session = Session()
     jdbc.read_table(session, DB, "category")

