@@ -92,22 +92,25 @@ def best_fit_decreasing(sizes, capacity=2048):
 
 
 def test_matches_across_ranges():
-    ranges = [
-        {"part": 0, "items": 0, "largest": None, "gaps": 2, "smallest": 1000},
-        {"part": 1, "items": 1, "largest": 900, "gaps": 1, "smallest": 450},
-        {"part": 2, "items": 5, "largest": 400, "gaps": 0, "smallest": None},
+    items = [(1, 900, 1), (2, 400, 5), (2, 60, 3)]
+    gaps = [(0, 1000, 2), (1, 450, 1)]
+    # The smallest gap large enough first; two documents of 400 to a gap of 1000; what is left of a gap is offered again.
+    assert [tuple(m) for m in P._across(items, gaps)] == [
+        (1, 0, 0, 0, 1, 1, 0), (2, 0, 0, 1, 0, 1, 1), (2, 1, 2, 0, 0, 2, 2), (2, 5, 5, 0, 1, 1, 3), (2, 6, 7, 0, 0, 3, 4),
     ]
-    # The smallest gap large enough first; two documents of 400 to a gap of 1000.
-    assert P._across(ranges) == [(1, 0, 0, 0, 1, 1), (2, 0, 0, 1, 0, 1), (2, 1, 2, 0, 0, 2)]
 
 
 def test_encoder_is_the_library(library):
     encoder = P.Encoder(open(P.default_vocabulary(), encoding="utf-8").read())
     rng = random.Random(3)
     alphabet = [*"ab 's't\n\t\x1c\x85\xa0é漢1²'ll_-<😀́ΣσİÉß", "<|endoftext|>", "The", "That,", " it's"]
+    texts = [None, ""]
     for _ in range(3_000):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25)))
-        assert encoder.ids(text) + P.pack_ids([0]) == ids_of(library, text), repr(text)
+        texts.append(text)
+    assert [ids + P.pack_ids([0]) for ids in encoder.ids(texts)] == [ids_of(library, text) for text in texts]
+    encoder.of_run.entries = 5
+    assert encoder.ids(texts[:50]) == encoder.ids(texts)[:50]
 
 
 def test_real_sequences(make, library):
