@@ -2,39 +2,52 @@
 
 Documents (pieces) and the gaps left in the sequences are range-sorted together by size, largest first. Every range
 sweeps its rows: a document goes to the smallest gap that holds it, its successor among the gaps, and the rest of that
-gap is open again to what comes later in the range. What a range cannot place is matched across ranges: taking the
-ranges from large to small, open gaps are stacked and each range's documents left over take the gaps from the top,
-which are the smallest that are large enough; documents of equal claim get them in the order of their rank. Both
-lists are ranked within their range, so this needs only two counts and two sizes of each range on the driver, and a
-join by rank applies it. Then the gaps are brought up to date, and the next round begins. New sequences are opened
-only for what the gaps cannot hold in sum, or when a round placed nothing.
-
-Each round's rows are a written table: a lost executor repeats at most that round.
+gap is open again to what comes later in the range. What a range cannot place is matched across ranges. Both lists
+are ranked within their range, by size, so it is enough to know how many documents and gaps of each size a range has
+left: from large to small, the documents of a size take the smallest gaps that hold them, and where several claim
+one gap their ranks decide. Every task then looks up its documents' gaps by rank, the gaps are brought up to date, and
+the next round begins, with new sequences for what no gap holds: as many as its sum needs.
+
+The driver gets counts by range and size: at most the capacity plus the number of ranges, for documents and for gaps,
+whatever the number of rows. Each round's rows are a written table: a lost executor repeats at most that round.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import math
+import os
 import re
 import struct
+from bisect import bisect_left, insort
+from collections import Counter, namedtuple
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import MEMO_ENTRIES, Memo, read, shared, staged
+from tallyhouse.llm.token_counts import byte_letters
 
 CAPACITY = 2048
 END = 0
 ROWS_PER_RANGE = 100_000
-_BYTES_AT_ONCE = 16 << 20
+_BYTES_AT_ONCE = 8 << 20
+_TEXT_AT_ONCE = 3 << 20
 
 # Fixed value: white space as the tokenizer library has it.
 _SPACE = "\t-\r \x85\xa0  -     　"
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]*)").fullmatch
+_SPLIT_ALIKE = re.compile(f"[^{_SPACE}]+").findall
+# Texts whose case and normal form need the library: other than Latin letters, and what may become a special token.
+# Python's own split takes four characters more for white space.
+_ODD = re.compile("[\x1c-\x1f\u0180-\U0010ffff]|<[|]").search
+_MARKS = frozenset(",.;:!?")
+_BYTE_LETTERS = byte_letters()
 
 
 def default_vocabulary() -> str:
@@ -58,13 +71,13 @@ class Encoder:
         self._ready()
 
     def _ready(self) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(self.spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.runs = re.compile(f"[^{_SPACE}]+").findall
-        self.of_run = Memo(self._one, 2 * MEMO_ENTRIES)
+        self.of_run = Memo(lambda run: self.encoded([run])[0], MEMO_ENTRIES * 3 // 2)
 
     def __getstate__(self):
         return {"spec": self.spec}
@@ -73,17 +86,55 @@ class Encoder:
         self.spec = state["spec"]
         self._ready()
 
-    def _one(self, run: str) -> bytes:
-        # The split pattern parts a word from the marks after it, and the vocabulary knows lower case only.
-        plain = _PLAIN(run)
+    def encoded(self, words: list[str]) -> list[bytes]:
+        return [pack_ids(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text. What is new in them is encoded together, which costs a quarter of one by one."""
+        plain, other = [_runs(t) if t and not _ODD(t) else [] for t in texts], {}
+        for i, text in enumerate(texts):
+            if text and _ODD(text):
+                other[i] = _SPLIT_ALIKE(text)
+        self.learn(set().union(*plain), True)
+        self.learn(set().union(*other.values()), False)
+        find = self.of_run.__getitem__
+        return [b"".join(map(find, other.get(i, own))) for i, own in enumerate(plain)]
+
+    def learn(self, runs: set[str], plain: bool) -> None:
+        known = self.of_run
+        fresh = runs.difference(known)
+        again = fresh.intersection(known.older)
+        fresh -= again
+        if len(known) + len(again) + 2 * len(fresh) > known.entries:
+            # The memo turns over: all that is wanted now must be in the new one.
+            before = known.older
+            known.turn()
+            known.update((run, before[run]) for run in again)
+            again = runs.intersection(known.older)
+            fresh = runs.difference(known, again)
+        known.update((run, known.older[run]) for run in again)
+        # The split pattern parts a word from the mark after it.
+        parted = {run: (run[:-1], run[-1]) for run in fresh if run[-1] in _MARKS and run[:-1].isalpha()} if plain else {}
+        words = {part for both in parted.values() for part in both}.difference(known) | fresh.difference(parted)
         if plain:
-            word, marks = plain.groups()
-            if (lower := word.lower()) != run:
-                return self.of_run[lower] + (self.of_run[marks] if marks else b"")
-        return pack_ids(self.tokenizer.encode(run, add_special_tokens=False).ids)
+            # A word of Latin letters in lower case is what the vocabulary merges: nothing to normalise or to split.
+            whole = {word for word in words if word.isalpha()}
+            known.update((word, self.merged(word)) for word in whole)
+            words -= whole
+        words = list(words)
+        for first in range(0, len(words), 10_000):
+            part = words[first : first + 10_000]
+            known.update(zip(part, self.encoded(part)))
+        known.update((run, known[word] + known[mark]) for run, (word, mark) in parted.items())
 
-    def ids(self, text: str | None) -> bytes:
-        return b"".join(map(self.of_run.__getitem__, self.runs(text))) if text else b""
+    def merged(self, word: str) -> bytes:
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return pack_ids([token.id for token in self.tokenizer.model.tokenize(letters)])
+
+
+def _runs(text: str) -> list[str]:
+    # The vocabulary knows lower case only.
+    return text.lower().split()
 
 
 def pack_ids(ids: list[int]) -> bytes:
@@ -105,11 +156,19 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     last, width = pack_ids([end]), 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Sets and dicts of texts come and go by the million and hold no cycles: looking for some takes a fifth of the time.
+        gc.disable()
+        try:
+            yield from pieces_of(batches)
+        finally:
+            gc.enable()
+
+    def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = the_encoder()
         rows, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.ids(text.as_py()) + last
+            for doc_id, ids in _encoded(batch, encoder):
+                ids += last
                 for piece, first in enumerate(range(0, len(ids), width)):
                     part = ids[first : first + width]
                     rows.append((doc_id, piece, first // 4, len(part) // 4, part))
@@ -123,6 +182,18 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
 
 
+def _encoded(batch: pa.RecordBatch, encoder: Encoder) -> Iterator[tuple[int | None, bytes]]:
+    """(doc_id, ids) of each row, some hundred texts or some megabytes at a time."""
+    bytes_so_far = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+    first = 0
+    while first < batch.num_rows:
+        before = bytes_so_far[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(bytes_so_far, before + _TEXT_AT_ONCE, side="right")))
+        part = batch.slice(first, end - first)
+        yield from zip(part.column(0).to_pylist(), encoder.ids(part.column(1).to_pylist()))
+        first = end
+
+
 def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
     names = ["doc_id", "piece", "start", "length", "ids"]
@@ -130,7 +201,7 @@ def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 # One row of a round. kind: placed (number of the sequence in seq, order of placing in place), item (not placed) or gap.
-# place is also the rank of an item or of an open gap in its range; -1 for a gap that cannot be offered further on.
+# place is also the rank of an item or of a gap in its range, by size.
 SWEPT = "part int, kind string, id long, size int, seq long, place long"
 
 
@@ -139,11 +210,10 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     at_size: dict[int, list[int]] = {}
     open_sizes = 0  # bit s is set while there is a gap of size s
-    placed, items, smallest = [], [], None
+    placed, items = [], []
     for batch in batches:
         kinds, sizes, ids = (batch.column(i).to_pylist() for i in range(3))
         for is_item, size, id_ in zip(kinds, sizes, ids):
-            smallest = size
             if not is_item:
                 at_size.setdefault(size, []).append(id_)
                 open_sizes |= 1 << size
@@ -161,17 +231,11 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if gap > size:
                 at_size.setdefault(gap - size, []).append(seq)
                 open_sizes |= 1 << (gap - size)
-    if smallest is None:
-        return
-    gaps, rank = [], 0
-    for size in sorted(at_size, reverse=True):
-        for seq in at_size[size]:
-            gaps.append((seq, size, rank if size >= smallest else -1))
-            rank += size >= smallest
+    gaps = [(seq, size) for size in sorted(at_size, reverse=True) for seq in at_size[size]]
     for kind, rows in (
         ("placed", [(i, size, seq, place) for i, size, seq, place in placed]),
         ("item", [(i, size, None, rank) for rank, (i, size) in enumerate(items)]),
-        ("gap", [(None, size, seq, rank) for seq, size, rank in gaps]),
+        ("gap", [(None, size, seq, rank) for rank, (seq, size) in enumerate(gaps)]),
     ):
         if rows:
             id_, size, seq, place = zip(*rows)
@@ -188,29 +252,70 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _across(ranges: list) -> list[tuple[int, int, int, int, int, int]]:
-    """Matches between ranges, largest first: (range of the documents, first rank, last rank, range of the gaps,
-    rank of the gap of the first document, documents to a gap). ``ranges``: rows (part, items, largest, gaps, smallest).
+# Documents first to last of a range (by rank) go to gaps of another, ``each`` to a gap, from the gap ``top`` down.
+Match = namedtuple("Match", "part first last gap_part top each turn")
+
+
+def _across(items: list[tuple[int, int, int]], gaps: list[tuple[int, int, int]]) -> list[Match]:
+    """Best fit between ranges. items and gaps: (range, size, number of this size), the ranks of a range being by size.
+
+    Documents of one size and range are taken together, largest first, and so are gaps (runs of ranks). What a run
+    keeps after a match is offered again.
     """
-    stack: list[list[int]] = []  # [part, gaps left, size of the smallest]; the smallest gap has the highest rank
-    out = []
-    for row in sorted(ranges, key=lambda r: r["part"]):
-        first, items = 0, row["items"]
-        while first < items and stack:
-            part, left, size = top = stack[-1]
-            each = size // row["largest"]
-            used = min(left, math.ceil((items - first) / each))
-            last = min(items, first + used * each) - 1
-            out.append((row["part"], first, last, part, left - 1, each))
-            first = last + 1
-            top[1] -= used
-            if not top[1]:
-                stack.pop()
-        if row["gaps"]:
-            stack.append([row["part"], row["gaps"], row["smallest"]])
+    runs, ranked = [], Counter()
+    for part, size, n in sorted(gaps, key=lambda g: -g[1]):
+        runs.append((size, part, ranked[part], ranked[part] + n - 1))
+        ranked[part] += n
+    runs.sort()
+    ranked.clear()
+    out: list[Match] = []
+    for part, size, n in sorted(items, key=lambda i: (-i[1], i[0])):
+        first = ranked[part]
+        ranked[part] += n
+        while first < ranked[part]:
+            at = bisect_left(runs, (size,))
+            if at == len(runs):
+                break
+            gap, gap_part, low, high = runs.pop(at)
+            each, left = gap // size, ranked[part] - first
+            used = min(high - low + 1, -(-left // each))
+            taken = min(left, used * each)
+            out.append(Match(part, first, first + taken - 1, gap_part, high, each, len(out)))
+            first += taken
+            in_last = taken - (used - 1) * each
+            for kept, a, b in (
+                (gap, low, high - used),
+                (gap - in_last * size, high - used + 1, high - used + 1),
+                (gap - each * size, high - used + 2, high),
+            ):
+                if kept > 0 and a <= b:
+                    insort(runs, (kept, gap_part, a, b))
     return out
 
 
+SENT = "id long, size int, gap_part int, rank long, place long, sent boolean"
+
+
+def _send(batches: Iterator[pa.RecordBatch], matches: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Items (part, id, size, place) with their gap's range and rank, as far as there is one for them."""
+    for batch in batches:
+        part, id_, size, place = (batch.column(i).to_numpy() for i in range(4))
+        gap_part, rank, turn = np.full((3, len(part)), -1, np.int64)
+        for own in np.unique(part):
+            if own not in matches:
+                continue
+            at = np.flatnonzero(part == own)
+            table = matches[own]  # columns of Match without part, by first
+            row = np.searchsorted(table[:, 0], place[at], side="right") - 1
+            inside = (row >= 0) & (place[at] <= table[row, 1])
+            at, table = at[inside], table[row[inside]]
+            order = place[at] - table[:, 0]
+            gap_part[at], rank[at] = table[:, 2], table[:, 3] - order // table[:, 4]
+            turn[at] = (table[:, 5] + 1 << 12) + order % table[:, 4] + (1 << 40)  # after all that the sweep placed
+        columns = [id_, size, gap_part.astype(np.int32), rank, turn, gap_part >= 0]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "size", "gap_part", "rank", "place", "sent"])
+
+
 def best_fit(items: DataFrame, capacity: int = CAPACITY, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """(id, seq, offset) for ``items`` (id long, unique; size int from 1 to ``capacity``): sequences of at most
     ``capacity`` without gaps between their items. Read ``items`` from a table: it is read twice. Empty: no rows.
@@ -221,17 +326,15 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY, rows_per_range: int = R
     )
     left = items.filter(F.col("size") < capacity).select("id", "size")
     total = left.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
-    n_items, n_gaps, wanted, offered, progress = total["n"], 0, total["size"], 0, True
+    n_items, n_gaps, wanted = total["n"], 0, total["size"]
     gaps = spark.createDataFrame([], "seq long, size int")
     placed, opened, round_ = [whole], 0, 0
     while n_items:
         round_ += 1
-        more = max(0, math.ceil((wanted - offered) / capacity)) if progress else math.ceil(wanted / capacity)
-        if more:
-            fresh = spark.range(opened, opened + more).select(
-                (F.col("id") * 2).alias("seq"), F.lit(capacity).alias("size")
-            )
-            gaps, n_gaps, opened = gaps.unionByName(fresh), n_gaps + more, opened + more
+        # The gaps of the last round hold none of what is left.
+        more = math.ceil(wanted / capacity)
+        fresh = spark.range(opened, opened + more).select((F.col("id") * 2).alias("seq"), F.lit(capacity).alias("size"))
+        gaps, n_gaps, opened = gaps.unionByName(fresh), n_gaps + more, opened + more
         rows = left.select(F.lit(1).alias("kind"), "size", "id").unionByName(
             gaps.select(F.lit(0).alias("kind"), "size", F.col("seq").alias("id"))
         )
@@ -239,60 +342,41 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY, rows_per_range: int = R
         order = [F.desc("size"), F.asc("kind"), F.xxhash64("id").asc(), F.asc("id")]
         by_size = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
         swept = staged(by_size.mapInArrow(_sweep, SWEPT), f"packing-{round_}")
-        is_item, is_open = F.col("kind") == "item", (F.col("kind") == "gap") & (F.col("place") >= 0)
-        summary = (
-            swept.groupBy("part")
-            .agg(
-                F.count(F.when(is_item, 1)).alias("items"),
-                F.max(F.when(is_item, F.col("size"))).alias("largest"),
-                F.count(F.when(is_open, 1)).alias("gaps"),
-                F.min(F.when(is_open, F.col("size"))).alias("smallest"),
-                F.coalesce(F.sum(F.when(is_item, F.col("size"))), F.lit(0)).alias("wanted"),
-                F.coalesce(F.sum(F.when(F.col("kind") == "gap", F.col("size"))), F.lit(0)).alias("offered"),
-                F.count(F.when(F.col("kind") == "gap", 1)).alias("all_gaps"),
-                F.count(F.when(F.col("kind") == "placed", 1)).alias("placed"),
-            )
-            .collect()  # one row for each range
-        )
-        n_items, n_gaps = sum(r["items"] for r in summary), sum(r["all_gaps"] for r in summary)
-        wanted, offered = sum(r["wanted"] for r in summary), sum(r["offered"] for r in summary)
-        progress = any(r["placed"] for r in summary)
+        # At most 2 * (capacity + ranges) + ranges rows.
+        counts = swept.groupBy("part", "kind", F.when(F.col("kind") != "placed", F.col("size")).alias("size"))
+        counts = counts.agg(F.count("*").alias("n")).collect()
+        items_left = [(r["part"], r["size"], r["n"]) for r in counts if r["kind"] == "item"]
+        gaps_left = [(r["part"], r["size"], r["n"]) for r in counts if r["kind"] == "gap"]
+        n_items, wanted = sum(n for _, _, n in items_left), sum(size * n for _, size, n in items_left)
+        n_gaps = sum(n for _, _, n in gaps_left)
         placed.append(
             swept.filter("kind = 'placed'").select("id", "seq", F.lit(round_).alias("round"), "place", "size")
         )
-        left, gaps = swept.filter(is_item), swept.filter("kind = 'gap'")
-        matches = _across(summary)
+        left, gaps = swept.filter("kind = 'item'"), swept.filter("kind = 'gap'")
+        matches = _across(items_left, gaps_left)
         if matches:
-            # At most two rows for each range.
-            schema = "part int, first long, last long, gap_part int, top long, each long"
-            table = F.broadcast(spark.createDataFrame(matches, schema))
-            inside = F.col("place").between(F.col("first"), F.col("last"))
-            rank = F.col("place") - F.col("first")
-            sent = left.join(table, "part").filter(inside).select(
-                "id", "size", "gap_part", (F.col("top") - F.floor(rank / F.col("each"))).alias("rank"),
-                (rank % F.col("each")).alias("turn"),
-            )
-            at = gaps.filter(F.col("place") >= 0).select(
-                F.col("part").alias("gap_part"), F.col("place").alias("rank"), "seq"
-            )
-            # A place above those of the sweep of this round.
-            across = sent.join(at, ["gap_part", "rank"]).select(
-                "id", "seq", F.lit(round_).alias("round"), (F.col("turn") + (1 << 40)).alias("place"), "size"
-            )
-            across = staged(across, f"packing-{round_}-across")
-            placed.append(across)
-            done = spark.createDataFrame(
-                [(part, max(m[2] for m in matches if m[0] == part)) for part in {m[0] for m in matches}],
-                "part int, done long",
-            )
-            left = left.join(F.broadcast(done), "part", "left").filter("done is null or place > done")
-            used = across.groupBy("seq").agg(F.sum("size").alias("used"))
-            gaps = gaps.join(used, "seq", "left").select(
+            by_part: dict[int, list] = {}
+            for match in matches:
+                by_part.setdefault(match.part, []).append(match[1:])
+            table = {part: np.array(sorted(rows), np.int64) for part, rows in by_part.items()}
+            the_matches = shared(spark, table)
+
+            def sent(batches: Iterator[pa.RecordBatch], table=the_matches) -> Iterator[pa.RecordBatch]:
+                yield from _send(batches, table())
+
+            left = staged(left.select("part", "id", "size", "place").mapInArrow(sent, SENT), f"packing-{round_}-across")
+            at = gaps.select(F.col("part").alias("gap_part"), F.col("place").alias("rank"), "seq")
+            across = left.filter("sent").join(at, ["gap_part", "rank"])
+            placed.append(across.select("id", "seq", F.lit(round_).alias("round"), "place", "size"))
+            used = left.filter("sent").groupBy("gap_part", "rank").agg(F.sum("size").alias("used"))
+            used = used.withColumnsRenamed({"gap_part": "part", "rank": "place"})
+            gaps = gaps.join(used, ["part", "place"], "left").select(
                 "seq", (F.col("size") - F.coalesce("used", F.lit(0))).cast("int").alias("size")
             )
-            moved = across.agg(F.count("*").alias("n"), F.sum("size").alias("size")).first()
-            n_items, wanted, offered = n_items - moved["n"], wanted - moved["size"], offered - moved["size"]
-            progress = True
+            moved = sum(m.last - m.first + 1 for m in matches)
+            size_of = left.filter("sent").agg(F.sum("size")).first()[0]
+            n_items, wanted = n_items - moved, wanted - size_of
+            left = left.filter("not sent")
         left, gaps = left.select("id", "size"), gaps.select("seq", "size").filter("size > 0")
     rows = placed[0]
     for part in placed[1:]:
