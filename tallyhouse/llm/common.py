@@ -54,7 +54,7 @@ def crc32_of_id(column: str | Column) -> Column:
 
 def shared(spark: SparkSession, value) -> Callable[[], object]:
     """A function that gives ``value`` in any task. It is broadcast once, and a Python worker that runs several tasks
-    makes it once, so that the memos in it last; a worker keeps the last two such values only.
+    makes it once, so that the memos in it last; a worker keeps the last two such values, and none after ``forget``.
 
     It travels as bytes, which need no import of this library where the workers run.
     """
@@ -72,6 +72,12 @@ def shared(spark: SparkSession, value) -> Callable[[], object]:
     return get
 
 
+def forget() -> None:
+    """For tasks that need no shared value: drops those that earlier tasks left in this worker."""
+    if "_worker_values" in sys.modules:
+        sys.modules["_worker_values"].__dict__.pop("values", None)
+
+
 class Memo(dict):
     """``compute`` with a bounded memory: when it is full, entries not used since the last time go."""
 

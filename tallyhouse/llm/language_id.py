@@ -29,6 +29,7 @@ from tallyhouse.llm.common import Memo, crc32_of_id, free_name, read, shared
 
 UNDETERMINED = "und"
 _WORDS = re.compile(r"[^\W\d_]+").findall
+UNSEEN_ENTRIES = 80_000  # of words that a worker remembers beside the model
 _PIECE = 64  # a longer word is looked up in pieces of so many letters
 
 
@@ -36,12 +37,12 @@ _PIECE = 64  # a longer word is looked up in pieces of so many letters
 class Settings:
     rows_per_language: int = 1_000
     chars_per_language: int = 4_000_000
-    entries_per_length: int = 30_000
+    entries_per_length: int = 12_000
     longest_gram: int = 5
     least_count: int = 2
     penalty: float = 7.0  # minus log10 frequency of what a language does not have
     max_languages: int = 200  # the most frequent ones
-    entries: int = 1_200_000  # of all languages and lengths; many languages share them evenly
+    entries: int = 600_000  # of all languages and lengths; many languages share them evenly
 
 
 def words_of(text: str) -> Counter:
@@ -75,45 +76,58 @@ class LanguageModel:
             row = self.known[length].setdefault(text, place)
             place += row == place
             self.table[row, language] = min(penalty, -math.log10(n / totals[length, language]))
-        self.of_word = Memo(self.score)
+        self.of_word = Memo(self.unseen, UNSEEN_ENTRIES)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "of_word"}
 
     def __setstate__(self, state) -> None:
         self.__dict__.update(state)
-        self.of_word = Memo(self.score)
+        self.of_word = Memo(self.unseen, UNSEEN_ENTRIES)
 
     def score(self, word: str) -> np.ndarray | None:
         """Penalty by language; None if there is no letter in it."""
-        found = self.known[0].get(word)
-        if found is not None:
-            return self.table[found]
+        row = self.known[0].get(word)
+        if row is not None:
+            return self.table[row]
+        return np.frombuffer(found, np.float32) if (found := self.of_word[word]) else None
+
+    def unseen(self, word: str) -> bytes:
+        """The penalties of a word that is not known, as 32-bit numbers; empty if there is no letter in it."""
         if not any(map(str.isalpha, word)):
-            return None
+            return b""
         for length in range(self.longest, 0, -1):
             known = self.known[length]
-            grams = [row for gram in grams_of(word, length) if (row := known.get(gram)) is not None]
-            if grams:
+            rows = [row for gram in grams_of(word, length) if (row := known.get(gram)) is not None]
+            if rows:
                 # An n-gram that no language has says nothing and counts for none of them.
-                return self.table[grams].mean(axis=0)
-        return np.full(len(self.languages), self.penalty, np.float32)
+                return self.table[rows].mean(axis=0).tobytes()
+        return np.full(len(self.languages), self.penalty, np.float32).tobytes()
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, share of belief in it). Ties go to the language that comes first by name."""
         counts = words_of(text) if text else {}
-        rows, weights = [], []
-        for word, n in counts.items():
-            row = self.of_word[word]
-            if row is not None:
-                rows.append(row)
-                weights.append(n)
-        if not rows or not self.languages:
+        if not counts or not self.languages:
+            return UNDETERMINED, 0.0
+        rows = list(map(self.known[0].get, counts))
+        weight = np.fromiter(counts.values(), np.float64, len(counts))
+        new = [i for i, row in enumerate(rows) if row is None]
+        total, size = np.zeros(len(self.languages)), 0.0
+        if len(new) < len(rows):
+            known = np.array([row for row in rows if row is not None])
+            own = np.delete(weight, new)
+            total, size = own @ self.table[known].astype(np.float64), own.sum()
+        if new:
+            words = list(counts)
+            found = [self.of_word[words[i]] for i in new]
+            own = weight[[i for i, f in zip(new, found) if f]]
+            penalties = np.frombuffer(b"".join(found), np.float32).reshape(len(own), len(self.languages))
+            total, size = total + own @ penalties.astype(np.float64), size + own.sum()
+        if not size:
             return UNDETERMINED, 0.0
-        weight = np.array(weights, np.float64)
-        mean = weight @ np.array(rows, np.float64) / weight.sum()
+        mean = total / size
         # Words of a text are not independent: the evidence of n words counts as that of sqrt(n).
-        belief = np.exp((mean.min() - mean) * math.log(10) * math.sqrt(weight.sum()))
+        belief = np.exp((mean.min() - mean) * math.log(10) * math.sqrt(size))
         best = int(np.argmin(mean))
         return self.languages[best], float(belief[best] / belief.sum())
 

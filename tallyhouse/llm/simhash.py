@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import (
-    BLOCK_ROWS, block_pairs, components, free_name, key_text, read, sorted_groups, spanning_links, staged,
+    BLOCK_ROWS, block_pairs, components, forget, free_name, key_text, read, sorted_groups, spanning_links, staged,
 )
 
 SHINGLE_WORDS = 4
@@ -55,6 +55,7 @@ def fingerprint_column(text: Column, words: int = SHINGLE_WORDS) -> Column:
 
     @F.pandas_udf("long")
     def fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         for texts in batches:
             bits = np.array([fingerprint(t, words) for t in texts], np.uint64)
             yield pd.Series(bits.view(np.int64))
