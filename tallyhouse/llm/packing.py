@@ -45,7 +45,7 @@ _SPACE = "\t-\r \x85\xa0  -     　"
 _SPLIT_ALIKE = re.compile(f"[^{_SPACE}]+").findall
 # Texts whose case and normal form need the library: other than Latin letters, and what may become a special token.
 # Python's own split takes four characters more for white space.
-_ODD = re.compile("[\x1c-\x1f\u0180-\U0010ffff]|<[|]").search
+_ODD = "[\x1c-\x1fİ\u0180-\U0010ffff]|<[|]"
 _MARKS = frozenset(",.;:!?")
 _BYTE_LETTERS = byte_letters()
 
@@ -89,16 +89,35 @@ class Encoder:
     def encoded(self, words: list[str]) -> list[bytes]:
         return [pack_ids(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
+    def ids(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text. What is new in them is encoded together, which costs a quarter of one by one."""
-        plain, other = [_runs(t) if t and not _ODD(t) else [] for t in texts], {}
-        for i, text in enumerate(texts):
-            if text and _ODD(text):
-                other[i] = _SPLIT_ALIKE(text)
-        self.learn(set().union(*plain), True)
-        self.learn(set().union(*other.values()), False)
-        find = self.of_run.__getitem__
-        return [b"".join(map(find, other.get(i, own))) for i, own in enumerate(plain)]
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        for at, own in zip(np.flatnonzero(~odd), self.plain_ids(texts.filter(pa.array(~odd)))):
+            out[at] = own
+        runs = [_SPLIT_ALIKE(text) for text in texts.filter(pa.array(odd)).to_pylist()]
+        self.learn(set().union(*runs), False)
+        for at, own in zip(np.flatnonzero(odd), runs):
+            out[at] = b"".join(map(self.of_run.__getitem__, own))
+        return out
+
+    def plain_ids(self, texts: pa.Array) -> Iterator[bytes]:
+        """Words are numbered by Arrow, and only distinct ones are looked up. The vocabulary knows lower case only."""
+        split = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+        numbered = split.flatten().dictionary_encode()
+        words, number = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        self.learn({word for word in words if word}, True)
+        known = [self.of_run[word] if word else b"" for word in words]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        every = np.frombuffer(b"".join(known), "<u4")
+        n = sizes[number]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        place = np.repeat((np.cumsum(sizes) - sizes)[number] - ends[:-1], n) + np.arange(ends[-1])
+        ids = every[place]
+        bounds = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+        for first, last in zip(bounds, bounds[1:]):
+            yield ids[first:last].tobytes()
 
     def learn(self, runs: set[str], plain: bool) -> None:
         known = self.of_run
@@ -132,11 +151,6 @@ class Encoder:
         return pack_ids([token.id for token in self.tokenizer.model.tokenize(letters)])
 
 
-def _runs(text: str) -> list[str]:
-    # The vocabulary knows lower case only.
-    return text.lower().split()
-
-
 def pack_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -190,7 +204,7 @@ def _encoded(batch: pa.RecordBatch, encoder: Encoder) -> Iterator[tuple[int | No
         before = bytes_so_far[first - 1] if first else 0
         end = max(first + 1, int(np.searchsorted(bytes_so_far, before + _TEXT_AT_ONCE, side="right")))
         part = batch.slice(first, end - first)
-        yield from zip(part.column(0).to_pylist(), encoder.ids(part.column(1).to_pylist()))
+        yield from zip(part.column(0).to_pylist(), encoder.ids(part.column(1)))
         first = end
 
 

@@ -2,6 +2,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -108,9 +109,11 @@ def test_encoder_is_the_library(library):
     for _ in range(3_000):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25)))
         texts.append(text)
-    assert [ids + P.pack_ids([0]) for ids in encoder.ids(texts)] == [ids_of(library, text) for text in texts]
+    texts += [" lead", "trail ", "a\x85b\xa0c  d\x0b\x0ce", "ÀÉÑ Straße, ŉ ſ ÿŸ İI; Ω's", "x<|endoftext|>y <|ENDOFTEXT|>"]
+    assert [ids + P.pack_ids([0]) for ids in encoder.ids(pa.array(texts))] == [ids_of(library, text) for text in texts]
     encoder.of_run.entries = 5
-    assert encoder.ids(texts[:50]) == encoder.ids(texts)[:50]
+    assert encoder.ids(pa.array(texts[:50])) == encoder.ids(pa.array(texts))[:50]
+    assert encoder.ids(pa.array([], pa.string())) == [] and encoder.ids(pa.array([None], pa.string())) == [b""]
 
 
 def test_real_sequences(make, library):
