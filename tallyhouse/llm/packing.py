@@ -106,7 +106,7 @@ class Encoder:
         """Words are numbered by Arrow, and only distinct ones are looked up. The vocabulary knows lower case only."""
         split = pc.utf8_split_whitespace(pc.utf8_lower(texts))
         numbered = split.flatten().dictionary_encode()
-        words, number = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        words, number = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy()
         self.learn({word for word in words if word}, True)
         known = [self.of_run[word] if word else b"" for word in words]
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
