@@ -33,16 +33,56 @@ _LINE = frozenset(
     "address article aside blockquote body br caption dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 head header hr html li main nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
-_hidden = re.compile(rf"<!--.*?(?:-->|\Z)|<({_SILENT})\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_RUNS_ON = ("script", "style")  # without an end tag, these reach to the end of the page
+_opening = re.compile(rf"<!--|<({_SILENT})(?=[\s/>])", re.I)
+_comment = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.S)
+_rest_of_tag = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+>""")
+_closing = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in _SILENT.split("|")}
 _tag = re.compile(r"""<(?:/?([a-zA-Z][^\s/>]*)(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+>|[!?][^>]*>)""")
-_title = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_link = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_title = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)</title\s*>", re.S | re.I)
+_link = re.compile(r"""<a(?=[\s/>])[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _blanks = re.compile(r"[^\S\n]+")
 
 
+def visible(page: str) -> str:
+    """The page with a blank in place of each comment and silent element, up to its first end tag.
+
+    An element without an end tag, and one closed in its own tag, hides its tag only; but script and style, which no tag
+    closes by itself, hide the rest of the page if they have no end tag, and so does a comment without an end.
+    """
+    out, at, never_closed, quoted = [], 0, set(), True
+    while found := _opening.search(page, at):
+        out += page[at : found.start()], " "
+        if not found[1]:
+            at = _comment.match(page, found.start()).end()
+            continue
+        name = found[1].lower()
+        tag = _rest_of_tag.match(page, found.end()) if quoted else None
+        quoted = tag is not None  # quotes that swallow the page are not tried again
+        after = tag.end() if tag else page.find(">", found.end()) + 1
+        if not after and name not in _RUNS_ON:
+            # No tag ends here any more: this is text.
+            out.append(page[found.start() : found.end()])
+            at = found.end()
+            continue
+        at = after or len(page)
+        if name in never_closed or page[at - 2] == "/" and name not in _RUNS_ON:
+            continue
+        if end := _closing[name].search(page, at):
+            at = end.end()
+        elif name in _RUNS_ON:
+            at = len(page)
+        else:
+            never_closed.add(name)
+    return "".join([*out, page[at:]])
+
+
 def page_text(page: str) -> str:
-    """The text of a page: no markup, scripts or comments; entities resolved; a line for each block that has text."""
-    parts = _tag.split(_hidden.sub(" ", page))
+    """The text of a page: no markup, scripts or comments; entities resolved; a line for each block that has text.
+
+    What stands inside noscript, template, svg, iframe, object, textarea and select elements is left out as well.
+    """
+    parts = _tag.split(visible(page))
     out = [parts[0].replace("\n", " ")]
     for name, text in zip(parts[1::2], parts[2::2]):
         if name and name.lower() in _LINE:
@@ -54,9 +94,9 @@ def page_text(page: str) -> str:
 
 def page_facts(page: str) -> dict:
     """Title and links, in their order."""
-    visible = _hidden.sub(" ", page)
-    title = _title.search(visible)
-    links = [html.unescape(a or b or c) for a, b, c in _link.findall(visible)]
+    seen = visible(page)
+    title = _title.search(seen)
+    links = [html.unescape(a or b or c) for a, b, c in _link.findall(seen)]
     return {"title": " ".join(html.unescape(title[1]).split()) if title else None, "links": links}
 
 

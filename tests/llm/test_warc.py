@@ -43,6 +43,32 @@ def test_page_text(page, text):
     assert text is None or got == text
 
 
+HIDING = [
+    ('<p>a</p><svg class="i"/><p>all the rest</p>', "a\nall the rest"),
+    ('<p>a</p><object data="x" /><p>b</p><object>no</object>', "a\nb"),
+    ("<p>a</p><object data=x><p>b</p>", "a\nb"),
+    ("<p>a</p><select><p>b</p><select><p>c</p>", "a\nb\nc"),
+    ("<p>a</p><select-box>b</select-box><p>c</p><template-x/>d", "a\nb\nc\nd"),
+    ("<p>a</p><SVG title='x>y'>no</svg ><p>b</p>", "a\nb"),
+    ("<p>a</p><textarea>no</textarea><select><option>no</select><iframe>no</iframe>b", "a\nb"),
+    ("<p>a</p><script src=x /><p>no</p></script>b", "a\nb"),
+    ("<p>a</p><style>p{}<p>no", "a"),
+    ("<p>a</p><!-- <p>no", "a"),
+    ("<p>a</p><!--><p>b</p>", "a\nb"),
+    ("<p>a</p>" + "<object>" * 20_000, "a"),
+]
+
+
+@pytest.mark.parametrize("page, text", HIDING, ids=range(len(HIDING)))
+def test_hidden_elements(page, text):
+    assert W.page_text(page) == text
+
+
+def test_unclosed_elements_hide_no_title_or_link():
+    page = "<svg/><object><title-bar>no</title-bar><title>t</title><a-b href=/no>x</a-b><a href=/y>m</a>"
+    assert W.page_facts(page) == {"title": "t", "links": ["/y"]}
+
+
 def test_title_and_links():
     assert W.page_facts(PAGES[0][0]) == {"title": "A & B", "links": []}
     assert W.page_facts(PAGES[4][0]) == {"title": None, "links": ["/x?a=1&b", "/y"]}
