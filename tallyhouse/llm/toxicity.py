@@ -1,17 +1,19 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over an inverted index of all their words.
 
-Terms are words and word beginnings (of four to seven letters, which stand for inflected and joined forms) whose
-occurrences tell the labels apart: a chi-square test and a ratio of shares, on a sample of labelled rows. All others have weight zero. An
-occurrence of a word is counted by its neighbours to the left and right, once for each pair of them, so copies of a
-text do not make its rare words look telling.
+All words of the examples are terms, so that an example is found by whatever it shares with a text. Some terms tell the
+labels apart: words and word beginnings (of four to seven letters, which stand for inflected and joined forms) that pass
+a chi-square test and a ratio of shares on the sample. An occurrence of a word is counted there by its neighbours to
+the left and right, once for each pair of them, so copies of a text do not make its rare words look telling. A vector
+has two parts, of telling terms and of all other words, each by TF-IDF; the other words together weigh ``REST`` times
+what the telling terms do, and all there is in texts without telling terms. A copy of an example has cosine 1 either way.
 
-The index lists, for each term, the examples that have it by block of example numbers, with the greatest weight of each
-block. A query visits blocks in the order of their upper bounds and stops when no block left can hold a nearer example
-than those found, so the nearest are exact. Their votes, weighted by closeness, are turned into probabilities by a
-logistic curve that is fitted on the examples themselves, each scored without itself.
+The index lists, for each term, the examples that have it; a query adds up the lists of its terms, so the nearest are
+exact. Their votes count by a high power of the cosine, against a small weight of the share of label 1 among examples without
+telling terms: neighbours that share a few plain words with a text decide nothing, a copy decides alone. Votes are
+turned into probabilities by a logistic curve that is fitted on the examples themselves, each scored without itself.
 
 The sample is bounded (``rows_per_label`` rows of each label by a hash of the id, and whole texts of at most
-``chars_per_label`` characters in all), so index and calibration have a fixed size; all rows are scored.
+``chars_per_label`` characters in all), and so are its words, the index and the calibration; all rows are scored.
 """
 
 from __future__ import annotations
@@ -30,7 +32,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import Memo, crc32_of_id, free_name, read, shared, staged
 
-BLOCK = 64
+REST = 0.3
+POWER = 6  # of the cosine, in votes
+DOUBT = 0.05  # rows of the label of least weight, in votes
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -66,88 +70,104 @@ def counted_terms(words: list[str], known) -> dict[str, int]:
 
 
 class ToxicityIndex:
-    def __init__(self, terms: list[str], examples: list[tuple[int, int, dict[str, int]]], weight: dict[int, float], k: int):
-        """examples: (doc_id, label, counts of terms); weight: how many labelled rows an example of a label stands for."""
+    def __init__(
+        self,
+        terms: list[str],
+        examples: list[tuple[int, int, dict[str, int]]],
+        weight: dict[int, float],
+        k: int,
+        words: list[str] = (),
+    ):
+        """examples: (doc_id, label, counts of terms and words); weight: how many labelled rows an example of a label
+        stands for; terms: those that tell the labels apart; words: all others."""
         self.number = {t: i for i, t in enumerate(terms)}
+        self.other = {w: i for i, w in enumerate(words, len(terms))}
         self.k, n = k, len(examples)
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.labels = np.array([e[1] for e in examples], np.float64)
         self.weights = np.array([weight[e[1]] for e in examples], np.float64)
-        df = np.zeros(len(terms))
-        for _, _, counts in examples:
-            for t in counts:
-                df[self.number[t]] += 1
+        size = len(self.number) + len(self.other)
+        numbers = [np.array([self.at(t) for t in counts], np.int64) for _, _, counts in examples]
+        df = np.bincount(np.concatenate([*numbers, np.zeros(0, np.int64)]), minlength=size)
         self.idf = np.log((1 + n) / (1 + df)) + 1
-        vectors = [self.vector(counts) for _, _, counts in examples]
-        blocks = -(-n // BLOCK)
-        self.greatest = np.zeros((len(terms), blocks))
-        self.postings: list[dict[int, tuple[list[int], list[float]]]] = [{} for _ in terms]
-        for example, vector in enumerate(vectors):
-            for t, w in vector:
-                block = example // BLOCK
-                at, ws = self.postings[t].setdefault(block, ([], []))
-                at.append(example % BLOCK)
-                ws.append(w)
-                self.greatest[t, block] = max(self.greatest[t, block], w)
-        self.postings = [{b: (np.array(a), np.array(w)) for b, (a, w) in lists.items()} for lists in self.postings]
-        # What shares no term with any example is like the examples without terms.
-        bare = np.array([not v for v in vectors], bool)
+        vectors = [self.weighed(at, np.fromiter(e[2].values(), np.float64, len(at))) for at, e in zip(numbers, examples)]
+        at = np.concatenate([*(v[0] for v in vectors), np.zeros(0, np.int64)])
+        by_term = np.argsort(at, kind="stable")
+        sizes = [len(v[0]) for v in vectors]
+        self.lists = np.repeat(np.arange(n, dtype=np.int32), sizes)[by_term]
+        self.list_weights = np.concatenate([*(v[1] for v in vectors), np.zeros(0)])[by_term]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=size))]).astype(np.int64)
+        # What shares no term with any example is like the examples without telling terms.
+        bare = np.array([not (v[0] < len(terms)).any() for v in vectors], bool)
         self.none = self.smoothed(self.labels[bare], self.weights[bare])
         self.slope, self.shift = self.calibrate(vectors)
-        self.of_vector, self.of_word = Memo(self.evaluate), Memo(self.known_terms)
+        self.of_word = Memo(self.known_terms)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("of_vector", "of_word")}
+        return {k: v for k, v in self.__dict__.items() if k != "of_word"}
 
     def __setstate__(self, state) -> None:
         self.__dict__.update(state)
-        self.of_vector, self.of_word = Memo(self.evaluate), Memo(self.known_terms)
+        self.of_word = Memo(self.known_terms)
+
+    def at(self, term: str) -> int:
+        return self.number[term] if term in self.number else self.other[term]
 
     def known_terms(self, word: str) -> tuple[str, ...]:
-        return tuple(t for t in terms_of(word) if t in self.number)
+        return tuple(t for t in terms_of(word) if t in self.number or t in self.other)
 
     @staticmethod
     def smoothed(labels: np.ndarray, weights: np.ndarray) -> float:
         """Share of label 1, drawn towards a half by one row of each label; a half without examples."""
         return float((labels @ weights + 0.5) / (weights.sum() + 1))
 
+    def weighed(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unit vector of numbered terms with their counts, as terms and weights, by term."""
+        order = np.argsort(at)
+        at = at[order]
+        raw = (1 + np.log(counts[order])) * self.idf[at]
+        telling = int(np.searchsorted(at, len(self.number)))
+        if 0 < telling < len(at):
+            raw[telling:] *= REST * math.sqrt((raw[:telling] ** 2).sum() / (raw[telling:] ** 2).sum())
+        return at, raw / math.sqrt((raw**2).sum()) if len(at) else raw
+
     def vector(self, counts: dict[str, int]) -> tuple[tuple[int, float], ...]:
-        """Unit TF-IDF vector as (term, weight), by term."""
-        raw = sorted((self.number[t], (1 + math.log(n)) * self.idf[self.number[t]]) for t, n in counts.items())
-        length = math.sqrt(sum(w * w for _, w in raw))
-        return tuple((t, float(w / length)) for t, w in raw)
+        """Unit vector as (term, weight), by term."""
+        at, weights = self.weighed(np.array([self.at(t) for t in counts], np.int64), np.array(list(counts.values()), np.float64))
+        return tuple(zip(at.tolist(), weights.tolist()))
 
     def nearest(self, vector: tuple[tuple[int, float], ...], without: int = -1) -> list[tuple[float, int]]:
         """The k examples of greatest cosine above zero, nearest first, the lower number first of equals."""
-        terms = np.array([t for t, _ in vector])
-        weights = np.array([w for _, w in vector])
-        bounds = weights @ self.greatest[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or len(best) == self.k and bounds[block] < -best[-1][0] - 1e-9:
-                break
-            cosine = np.zeros(BLOCK)
-            for t, w in vector:
-                if (found := self.postings[t].get(block)) is not None:
-                    cosine[found[0]] += w * found[1]
-            some = np.flatnonzero(cosine > 0)
-            # Rounded, so that equal vectors tie whatever the order of their sums.
-            own = [(-round(float(cosine[i]), 12), block * BLOCK + int(i)) for i in some]
-            best = sorted([*best, *(x for x in own if x[1] != without)])[: self.k]
-        return [(-c, i) for c, i in best]
+        return self.near(np.array([t for t, _ in vector], np.int64), np.array([w for _, w in vector]), without)
+
+    def near(self, at: np.ndarray, weights: np.ndarray, without: int = -1) -> list[tuple[float, int]]:
+        starts = self.starts[at]
+        sizes = self.starts[at + 1] - starts
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+        cosine = np.bincount(self.lists[places], np.repeat(weights, sizes) * self.list_weights[places], len(self.ids))
+        if without >= 0:
+            cosine[without] = 0
+        # Rounded, so that equal vectors tie whatever the order of their sums.
+        cosine = np.round(cosine, 12)
+        least = np.partition(cosine, -self.k)[-self.k] if len(cosine) > self.k else 0
+        some = np.flatnonzero((cosine >= least) & (cosine > 0))
+        some = some[np.argsort(-cosine[some], kind="stable")][: self.k]
+        return list(zip(cosine[some].tolist(), some.tolist()))
 
     def vote(self, near: list[tuple[float, int]]) -> float:
-        """Share of label 1 among the nearest, by closeness and by the rows each stands for."""
+        """Share of label 1 among the nearest, by closeness and by the rows each stands for, and a little of ``none``."""
         at = np.array([i for _, i in near])
-        closeness = 1 / (1.05 - np.minimum([c for c, _ in near], 1.0))
+        closeness = np.minimum([c for c, _ in near], 1.0) ** POWER
         weight = closeness * self.weights[at]
-        return float(weight @ self.labels[at] / weight.sum())
+        doubt = DOUBT * float(self.weights.min())
+        return float((weight @ self.labels[at] + doubt * self.none) / (weight.sum() + doubt))
 
     def calibrate(self, vectors: list) -> tuple[float, float]:
         """Slope and shift of the logistic curve from votes to labels; targets are smoothed, the slope is never negative."""
         votes, labels, weights = [], [], []
         for example, vector in enumerate(vectors):
-            if vector and (near := self.nearest(vector, without=example)):
+            if near := self.near(*vector, without=example):
                 votes.append(self.vote(near))
                 labels.append(self.labels[example])
                 weights.append(self.weights[example])
@@ -168,18 +188,16 @@ class ToxicityIndex:
                 break
         return max(slope, 0.0), shift
 
-    def evaluate(self, vector: tuple) -> tuple[float, list[tuple[int, float, int]]]:
-        near = self.nearest(vector)
+    def score(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
+        """(probability of label 1, evidence: doc_id, cosine and label of the nearest examples)."""
+        counts = counted_terms(words_of(text), self.of_word)
+        at = np.array([self.at(t) for t in counts], np.int64)
+        near = self.near(*self.weighed(at, np.fromiter(counts.values(), np.float64, len(at)))) if counts else []
         if not near:
             return self.none, []
         score = 1 / (1 + math.exp(-(self.slope * (self.vote(near) - 0.5) + self.shift)))
         return score, [(int(self.ids[i]), c, int(self.labels[i])) for c, i in near]
 
-    def score(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
-        """(probability of label 1, evidence: doc_id, cosine and label of the nearest examples)."""
-        counts = counted_terms(words_of(text), self.of_word)
-        return self.of_vector[self.vector(counts)] if counts else (self.none, [])
-
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each word with its neighbours, and the label."""
@@ -251,7 +269,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = known()
-        of_word = Memo(lambda word: [t for t in terms_of(word) if t in wanted])
+        # The word itself always, its beginnings if they tell the labels apart.
+        of_word = Memo(lambda word: [t for t in terms_of(word) if t == word or t in wanted])
         for batch in batches:
             counts = [counted_terms(words_of(t), of_word) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -263,7 +282,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     examples = sorted((r["doc_id"], r["label"], r["counts"]) for r in examples)
     seen = Counter(label for _, label, _ in examples)
     weight = {label: totals.get(label, 0) / n for label, n in seen.items()}
-    return ToxicityIndex(terms, examples, weight, settings.nearest)
+    words = sorted({t for _, _, counts in examples for t in counts}.difference(terms))
+    return ToxicityIndex(terms, examples, weight, settings.nearest, words)
 
 
 SCORED = "score double, evidence array<struct<doc_id:long,cosine:double,label:int>>"
@@ -286,8 +306,8 @@ def toxicity_column(spark: SparkSession, text: Column, index: ToxicityIndex) ->
 def score_toxicity(docs: DataFrame, index: ToxicityIndex) -> DataFrame:
     """``docs`` with score, predicted and evidence after its columns (columns of these names are replaced).
 
-    Only the text decides. A null, empty or word-less text, like any text without a telling term, gets the share of
-    toxic rows among such examples and no evidence. Repeated rows are scored each; an empty table gives no rows.
+    Only the text decides. A null, empty or word-less text, like any text without a word of an example, gets the share
+    of toxic rows among examples without telling terms and no evidence. Repeated rows are scored each; an empty table gives no rows.
     """
     found = free_name(docs, "_toxicity")
     scored = docs.withColumn(found, toxicity_column(docs.sparkSession, F.col("text"), index))

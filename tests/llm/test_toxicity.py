@@ -79,6 +79,40 @@ def test_copies_do_not_make_a_word_telling(spark, make):
     assert index.score("some insultly here")[0] > 0.5 > index.score("rarething")[0]
 
 
+def test_rare_words_find_their_example(spark, make):
+    """Each toxic text has an insult of its own: none tells the labels apart on the sample, but its copies are toxic."""
+    rng = random.Random(6)
+    name = lambda kind, i: f"{kind}{chr(97 + i % 26)}{chr(97 + i // 26)}"
+    words = [name("word", i) for i in range(200)]
+    slurs = ["".join(rng.choices("bcdfghjklm", k=8)) for _ in range(60)]  # no common beginnings either
+    rows = [(i, " ".join([*rng.choices(words, k=30), *([slurs[i // 5]] * 2 if i % 5 == 0 else [])])) for i in range(300)]
+    index = T.fit(make(rows), spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    assert not index.number
+    for i, text in rows:
+        score, evidence = index.score(text)
+        assert (score >= 0.5) == (i % 5 == 0)
+        assert evidence[0][0] == i and evidence[0][1] == pytest.approx(1) and evidence[0][2] == (i % 5 == 0)
+    near = rows[50][1].split()
+    near[3] = near[17] = "other"
+    assert index.score(" ".join(near))[0] >= 0.5
+    assert index.score("nothing known")[0] == index.none < 0.5
+
+
+def test_nearest_over_telling_and_other_words_are_exact():
+    rng = random.Random(7)
+    names, words = [f"t{c}" for c in "abcde"], [f"w{c}{d}" for c in "abcdef" for d in "abcdef"]
+    rows = [(i, i % 2, {rng.choice(names + 9 * words): rng.randint(1, 3) for _ in range(8)}) for i in range(150)]
+    index = T.ToxicityIndex(names, rows, {0: 2.0, 1: 1.0}, 7, words)
+    dense = lambda v: np.bincount([t for t, _ in v], [w for _, w in v], len(names) + len(words))
+    matrix = np.array([dense(index.vector(c)) for _, _, c in rows])
+    assert np.allclose((matrix**2).sum(axis=1), 1)
+    for i, _, counts in rows:
+        cosine = matrix @ dense(index.vector(counts))
+        want = sorted((-round(c, 12), j) for j, c in enumerate(cosine) if c > 1e-12 and j != i)[:7]
+        got = index.nearest(index.vector(counts), without=i)
+        assert [j for _, j in got] == [j for _, j in want] and np.allclose([c for c, _ in got], [-c for c, _ in want])
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1)], [(1, None), (None, 1)], [(99, 1)], [(1, 0), (2, 0)]])
 def test_few_or_no_examples(spark, make, labels):
     index = T.fit(make([(1, "a b"), (2, None)]), spark.createDataFrame(labels, "doc_id long, toxic int"))
