@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyhouse.llm import (
-    decontamination, embedding_dedup, language_id, license_scans, packing, secret_scans, simhash,
+    decontamination, embedding_dedup, filter_audit, language_id, license_scans, packing, secret_scans, simhash,
     token_counts, toxicity, warc,
 )
 
@@ -18,10 +18,12 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_warc": warc.op10_warc,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
 }
 
 ORACLE = {
     "op4_secret_scans": secret_scans.ORACLE,
     "op6_license_scans": license_scans.ORACLE,
     "op7_benchmark_decontamination": decontamination.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
 }
