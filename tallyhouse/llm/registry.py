@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyhouse.llm import (
-    decontamination, embedding_dedup, filter_audit, language_id, license_scans, packing, secret_scans, simhash,
+    cost_packing, decontamination, embedding_dedup, filter_audit, language_id, license_scans, packing, secret_scans, simhash,
     token_counts, toxicity, warc,
 )
 
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_warc": warc.op10_warc,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op13_cost_balanced_packing": cost_packing.op13_cost_balanced_packing,
 }
 
 ORACLE = {
