@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyhouse.llm import (
-    cost_packing, decontamination, embedding_dedup, filter_audit, language_id, license_scans, packing, secret_scans, simhash,
+    cost_packing, decontamination, embedding_dedup, filter_audit, language_id, lexical_search, license_scans, packing, secret_scans, simhash,
     token_counts, toxicity, warc,
 )
 
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_warc": warc.op10_warc,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_ranked_lexical_search": lexical_search.op12_ranked_lexical_search,
     "op13_cost_balanced_packing": cost_packing.op13_cost_balanced_packing,
 }
 
@@ -27,4 +28,5 @@ ORACLE = {
     "op6_license_scans": license_scans.ORACLE,
     "op7_benchmark_decontamination": decontamination.ORACLE,
     "op11_filter_audit": filter_audit.ORACLE,
+    "op12_ranked_lexical_search": lexical_search.ORACLE,
 }
