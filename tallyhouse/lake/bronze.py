@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
@@ -15,8 +17,10 @@ from tallyhouse.sources.files import WRITE_OPTIONS, marked
 
 log = logging.getLogger(__name__)
 
-# Multi-line CSV and array JSON are read one file per task, so no file may grow with the table.
+# Multi-line CSV is read one file per task, so no file may grow with the table: neither in rows nor in bytes.
 MAX_FILE_ROWS = 1_000_000
+# Tables of a source that land at the same time.
+TABLES_AT_ONCE = 4
 # Days left without rows, as a table below the bronze table; readers of the table pass names that begin like this over.
 CLEARED = "_cleared"
 CLEARED_SCHEMA = "load_date DATE"
@@ -37,12 +41,20 @@ def write_days(
 
     The rebalance step gathers each day into few files, and adaptive execution divides a day that is
     larger than its target size, so neither many small files nor one huge task comes out of it. Where
-    all rows belong to the same day, ``gather=False`` saves that shuffle.
+    all rows belong to the same day, ``gather=False`` saves that shuffle for files that several tasks can read; a CSV
+    file is read by one, so rows for those are dealt out by bytes all the same.
+
+    The size of a file is that of a partition, ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: a million short
+    rows and some hundred long texts both come out near it.
     """
     log.info("writing %s to %s (%s)", fmt, path, mode)
     rows = marked(df) if fmt == "csv" else df
+    if gather:
+        rows = rows.hint("rebalance", day)
+    elif fmt == "csv":
+        rows = rows.hint("rebalance")
     (
-        (rows.hint("rebalance", day) if gather else rows)
+        rows
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_FILE_ROWS)
@@ -96,22 +108,35 @@ def land_tables(
     source: str,
     load_date: dt.date,
     fmt: str = "csv",
+    at_once: int = TABLES_AT_ONCE,
 ) -> dict[str, str]:
     """Copies whole tables to ``path/<source>/<table>/load_date=<day>``; the format each was written in.
 
+    ``at_once`` tables land at the same time, each as a job of its own, so that a small table does not wait for a large one
+    and the cores that a large one leaves free are used. Under Spark's fair scheduler each has a pool of its own.
     A table may be given as a function that opens it. One that fails does not keep the others from landing; in the
     end a failure raises ``LandingError``, so the day is not taken as loaded. Running it again replaces it.
     """
+
+    def land(name: str, table: DataFrame | Callable[[], DataFrame]) -> str:
+        df = table() if callable(table) else table
+        df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", f"land-{source}-{name}")
+        kind = format_for(df, fmt)
+        ingest_day(df, f"{path}/{source}/{name}", load_date, kind)
+        return kind
+
     formats: dict[str, str] = {}
     failed: dict[str, Exception] = {}
-    for name, table in tables.items():
-        try:
-            df = table() if callable(table) else table
-            formats[name] = format_for(df, fmt)
-            ingest_day(df, f"{path}/{source}/{name}", load_date, formats[name])
-        except Exception as error:
-            log.exception("%s.%s was not landed", source, name)
-            failed[name] = error
+    # The caller's job group, tags and description hold in the threads too.
+    inheriting = inheritable_thread_target(SparkSession.getActiveSession())
+    with ThreadPoolExecutor(max(1, at_once), thread_name_prefix=f"land-{source}") as pool:
+        started = {name: pool.submit(inheriting(land), name, table) for name, table in tables.items()}
+        for name, job in started.items():
+            try:
+                formats[name] = job.result()
+            except Exception as error:
+                log.error("%s.%s was not landed", source, name, exc_info=error)
+                failed[name] = error
     if failed:
         raise LandingError(source, failed)
     return formats
@@ -126,12 +151,16 @@ def land_database(
     schema: str = "public",
     keys: Mapping[str, str] | None = None,
     fmt: str = "csv",
+    at_once: int = TABLES_AT_ONCE,
 ) -> dict[str, str]:
-    """Lists the tables of a database schema and lands each, as ``land_tables`` does. ``keys`` divide the reads."""
+    """Lists the tables of a database schema and lands each, as ``land_tables`` does. ``keys`` divide the reads.
+
+    At most ``at_once`` times ``db.connections`` connections are open.
+    """
     names = sorted(row["table_name"] for row in jdbc.list_tables(spark, db, schema).toLocalIterator())
     log.info("%s: %d table(s)", source, len(names))
 
     def opened(name: str) -> Callable[[], DataFrame]:
         return lambda: jdbc.read_table(spark, db, name, (keys or {}).get(name))
 
-    return land_tables({name: opened(name) for name in names}, path, source, load_date, fmt)
+    return land_tables({name: opened(name) for name in names}, path, source, load_date, fmt, at_once)

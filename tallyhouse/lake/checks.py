@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tallyhouse.lake.silver import present
+from tallyhouse.lake.silver import DayCounts, present
 
 log = logging.getLogger(__name__)
 
@@ -66,7 +66,17 @@ def load_audit(df: DataFrame, keys: Sequence[str], day: str = "load_date") -> Da
 def log_audit(audit: DataFrame, name: str, day: str = "load_date") -> None:
     """Writes one log line per day; the audit has one row per load date."""
     for row in audit.orderBy(day).toLocalIterator():
-        log.info(
-            "%s %s: in=%d distinct=%d duplicate=%d rejected=%d",
-            name, row[day], row["rows_in"], row["rows_distinct"], row["rows_duplicate"], row["rows_rejected"],
-        )
+        _log_day(name, row[day], DayCounts(row["rows_in"], row["rows_distinct"], row["rows_duplicate"], row["rows_rejected"]))
+
+
+def log_counts(counts: Mapping[dt.date | None, DayCounts], name: str) -> None:
+    """The same lines for what a write to silver counted on its way."""
+    for day in sorted(counts, key=lambda day: (day is not None, day)):
+        _log_day(name, day, counts[day])
+
+
+def _log_day(name: str, day: dt.date | None, n: DayCounts) -> None:
+    log.info(
+        "%s %s: in=%d distinct=%d duplicate=%d rejected=%d",
+        name, day, n.rows_in, n.rows_distinct, n.rows_duplicate, n.rows_rejected,
+    )

@@ -6,7 +6,8 @@ day: the stream tells which days have new files, and those days are rebuilt from
 Late files are never lost, and a batch that runs twice, for instance after a failure, gives the same table.
 
 The stream only notes the days, batch by batch. When it has taken up everything, each noted day is rebuilt once,
-however many files and batches it came in; a call that fails before that leaves its notes to the next.
+however many files and batches it came in; a call that fails before that leaves its notes to the next. What a day holds is
+decided from bronze when it is rebuilt, never from a note: it may have been reloaded or cleared in between.
 """
 
 from __future__ import annotations
@@ -21,12 +22,12 @@ from pyspark.sql.types import StructType
 
 from tallyhouse import workdir
 from tallyhouse.lake.bronze import CLEARED, CLEARED_SCHEMA, clear_day
-from tallyhouse.lake.silver import bronze_to_silver, clean
-from tallyhouse.sources.files import READ_OPTIONS, read_days, unmarked
+from tallyhouse.lake.silver import COUNTED_DAYS, DayCounts, bronze_to_silver, clean
+from tallyhouse.sources.files import READ_OPTIONS, read_days
 
 log = logging.getLogger(__name__)
 
-_NOTES = "load_date DATE, usable BOOLEAN"
+_NOTES = "load_date DATE"
 
 
 def refresh_silver(
@@ -39,8 +40,8 @@ def refresh_silver(
     order: Sequence[str],
     fmt: str = "json",
     files_per_batch: int | None = None,
-) -> None:
-    """Takes up all files landed since the last call and returns. ``schema`` includes ``load_date``.
+) -> dict[dt.date, DayCounts]:
+    """Takes up all files landed since the last call; the counts of each day that was rebuilt. ``schema`` includes ``load_date``.
 
     ``checkpoint`` remembers which files are done; use the same one on every call for a silver table. A day that the
     bronze layer was left without rows (``clear_day``) is emptied in silver too. A file without any row says nothing
@@ -53,46 +54,50 @@ def refresh_silver(
 
     def note(batch: DataFrame, batch_id: int) -> None:
         """One row per load date; a batch that runs again replaces its own."""
-        rows = unmarked(batch) if fmt == "csv" else batch
-        sound = clean(rows, keys).groupBy("load_date").agg(F.lit(True).alias("usable"))
-        seen = rows.dropna(subset=["load_date"]).select("load_date").distinct().join(sound, "load_date", "left")
+        seen = batch.dropna(subset=["load_date"]).select("load_date").distinct()
         seen.coalesce(1).write.mode("overwrite").parquet(f"{notes}/batch={batch_id}")
 
     query = (
         landed.load(bronze)
-        .select(*keys)
+        .select("load_date")
         .writeStream.foreachBatch(note)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    _rebuild(spark, bronze, schema, silver, notes, keys, order, fmt)
+    return _rebuild(spark, bronze, schema, silver, notes, keys, order, fmt)
 
 
-def _rebuild(spark, bronze, schema, silver, notes, keys, order, fmt) -> None:
+def _rebuild(spark, bronze, schema, silver, notes, keys, order, fmt) -> dict[dt.date, DayCounts]:
     batches = workdir.folders_in(spark, notes)
     # The days noted since the last call: their number is bounded by the calendar, not by the data.
-    noted: dict[dt.date, bool] = {}
+    noted: list[dt.date] = []
     if batches:
         rows = spark.read.schema(_NOTES).parquet(*[f"{notes}/{batch}" for batch in batches])
-        noted = {r["load_date"]: bool(r["usable"]) for r in rows.groupBy("load_date").agg(F.max("usable").alias("usable")).collect()}
-    present = {name.partition("=")[2] for name in workdir.folders_in(spark, silver)}
-    cleared = _cleared_days(spark, bronze)
-    doubtful = [day for day, usable in noted.items() if not usable]
-    doubtful += [day for day in cleared if day not in noted and day.isoformat() in present]
+        noted = sorted(r["load_date"] for r in rows.distinct().toLocalIterator())
+    counts: dict[dt.date, DayCounts] = {}
     if noted:
         log.info("%d day(s) to rebuild in %s", len(noted), silver)
-        touched = read_days(spark, bronze, fmt, schema, noted)
-        bronze_to_silver(touched, silver, keys, order, one_day=len(noted) == 1)
-    if doubtful:
-        # All of them in one pass: a day whose rows were all replaced by unusable ones, or by none, is emptied.
-        rows = clean(read_days(spark, bronze, fmt, schema, doubtful), keys).select("load_date").distinct()
+        for first in range(0, len(noted), COUNTED_DAYS - 1):
+            days = noted[first : first + COUNTED_DAYS - 1]
+            touched = read_days(spark, bronze, fmt, schema, days)
+            written = bronze_to_silver(touched, silver, keys, order, one_day=len(days) == 1)
+            counts |= {day: written.get(day, DayCounts()) for day in days}
+    # A day of which nothing was written is emptied: its rows were all replaced by unusable ones, or by none.
+    empty = [day for day in noted if not counts[day].rows_distinct]
+    present = {name.partition("=")[2] for name in workdir.folders_in(spark, silver)}
+    cleared = [day for day in _cleared_days(spark, bronze) if day not in counts and day.isoformat() in present]
+    if cleared:
+        # Days that were cleared once and have rows in silver: all of them are looked up in one pass.
+        rows = clean(read_days(spark, bronze, fmt, schema, cleared), keys).select("load_date").distinct()
         full = {r["load_date"] for r in rows.toLocalIterator()}
-        for day in sorted(set(doubtful) - full):
-            _empty(spark, silver, day, schema)
+        empty += [day for day in cleared if day not in full]
+    for day in sorted(empty):
+        _empty(spark, silver, day, schema)
     for batch in batches:
         workdir.remove(spark, f"{notes}/{batch}")
+    return counts
 
 
 def _cleared_days(spark: SparkSession, bronze: str) -> list[dt.date]:

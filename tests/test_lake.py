@@ -422,3 +422,131 @@ def test_daily_job(spark, tmp_path):
         job(D3, [])
     # The first day is delivered again, corrected; nothing of its first load remains.
     assert job(D1, [record(7, D1), record(8, D1)]) == [(5, D2), (7, D1), (8, D1)]
+
+
+# --- Landing at once, files by bytes, counts of the write ---------------------------------------------
+
+
+def test_tables_land_at_the_same_time(spark, tmp_path):
+    """Each of two tables waits, in its task, until the other one has begun."""
+    root = str(tmp_path)
+
+    def meeting(me, other):
+        def wait(rows):
+            import time
+            from pathlib import Path
+
+            Path(root, me).touch()
+            until = time.time() + 60
+            while not Path(root, other).exists():
+                assert time.time() < until, "the other table did not begin"
+                time.sleep(0.05)
+            yield from rows
+
+        return spark.range(2, numPartitions=1).mapInPandas(wait, "id BIGINT")
+
+    tables = {"a": meeting("a", "b"), "b": meeting("b", "a")}
+    assert bronze.land_tables(tables, f"{root}/bronze", "shop", D1, at_once=2) == {"a": "csv", "b": "csv"}
+    assert [read_csv(spark, f"{root}/bronze/shop/{t}", schemas.with_day("id BIGINT")).count() for t in tables] == [2, 2]
+
+
+def test_properties_of_the_caller_hold_while_landing(spark, tmp_path):
+    group = []
+
+    def opened():
+        group.append((spark.sparkContext.getLocalProperty("spark.jobGroup.id"), spark.sparkContext.getLocalProperty("spark.scheduler.pool")))
+        return spark.range(1)
+
+    spark.sparkContext.setJobGroup("nightly", "all tables")
+    try:
+        bronze.land_tables({"a": opened, "b": opened}, str(tmp_path), "shop", D1, at_once=1)
+        assert [g for g, _ in group] == ["nightly", "nightly"]
+        assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_long_texts_land_in_files_near_the_target_size(spark, tmp_path):
+    """48 texts of 1 MB that do not compress, and many short ones: no file holds much more than 4 MB, and several tasks read."""
+    long = F.concat(*[F.sha2(F.concat("id", F.lit(str(i))), 256) for i in range(4)])
+    rows = spark.range(0, 48, 1, 1).withColumn("s", F.expr("aggregate(sequence(1, 4096), '', (a, i) -> concat(a, sha2(concat(id, '-', i), 256)))"))
+    short = spark.range(1000, 21_000, 1, 2).withColumn("s", F.substring(long, 1, 40))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "4MB")
+    try:
+        bronze.ingest_day(rows.unionByName(short), str(tmp_path / "t"), D1, "csv")
+    finally:
+        spark.conf.set(size, before)
+    sizes = [os.path.getsize(f) for f in (tmp_path / "t").rglob("*.csv")]
+    assert sum(sizes) > 12_000_000 and len(sizes) >= 4 and max(sizes) <= 10_000_000
+    back = read_csv(spark, str(tmp_path / "t"), schemas.with_day("id BIGINT, s STRING"))
+    assert back.rdd.getNumPartitions() >= 3
+    want = rows.unionByName(short).select("id", F.sha2("s", 256))
+    assert rows_of(back.select("id", F.sha2("s", 256))) == rows_of(want)
+
+
+def test_counts_of_the_write_equal_the_audit(spark, tmp_path):
+    data = [
+        (1, " a", D1), (1, "a", D1), (1, "b", D1), (None, "a", D1), (1, "  ", D1), (1, "a", D2), (2, "", D3), (1, "a", None), (3, None, None),
+    ]
+    df = spark.createDataFrame(data, schemas.with_day("u INT, t STRING")).repartition(3)
+    counts = silver.bronze_to_silver(df, str(tmp_path / "silver"), ["u", "t", "load_date"], [])
+    audit = {r["load_date"]: silver.DayCounts(*list(r)[1:]) for r in checks.load_audit(df, ["u", "t"]).collect()}
+    assert counts == audit and counts[D1] == silver.DayCounts(5, 2, 1, 2) and counts[None] == silver.DayCounts(2, 0, 0, 2)
+
+
+def test_counts_of_nothing_and_of_many_days(spark, tmp_path, monkeypatch):
+    schema = schemas.with_day("u INT")
+    assert silver.bronze_to_silver(spark.createDataFrame([], schema), str(tmp_path / "none"), ["u", "load_date"], []) == {}
+    days = [dt.date(1969, 12, 20) + dt.timedelta(days=i) for i in range(40)]
+    df = spark.createDataFrame([(i % 3, day) for day in days for i in range(5)], schema).repartition(5)
+    assert silver.bronze_to_silver(df, str(tmp_path / "many"), ["u", "load_date"], []) == {d: silver.DayCounts(5, 3, 2, 0) for d in days}
+    monkeypatch.setattr(silver, "COUNTED_DAYS", 41)
+    assert len(silver.bronze_to_silver(df, str(tmp_path / "just"), ["u", "load_date"], [])) == 40
+    monkeypatch.setattr(silver, "COUNTED_DAYS", 30)
+    assert silver.bronze_to_silver(df, str(tmp_path / "too-many"), ["u", "load_date"], []) == {}
+
+
+def test_many_days_are_rebuilt_in_several_writes(spark, tmp_path, monkeypatch):
+    from tallyhouse.streaming import silver as stream
+
+    monkeypatch.setattr(stream, "COUNTED_DAYS", 3)
+    feed = Feed(spark, tmp_path)
+    feed.land(*[(p, "a", 1, d) for p in range(3) for d in (D1, D2, D3)], (None, "a", 1, dt.date(2021, 10, 10)))
+    feed.run()
+    assert feed.silver() == feed.batch() and len(feed.silver()) == 9
+
+
+def test_refresh_tells_what_it_did(spark, tmp_path, caplog):
+    feed = Feed(spark, tmp_path)
+    feed.land((1, "a", 5, D1), (1, "a ", 6, D1), (None, "a", 1, D1), (None, "a", 1, D2))
+    caplog.set_level("INFO")
+    counts = refresh_silver(
+        spark, f"{tmp_path}/bronze", STOCK, f"{tmp_path}/silver", f"{tmp_path}/progress", ["product_id", "store", "load_date"], ["seen"]
+    )
+    assert counts == {D1: silver.DayCounts(3, 1, 1, 1), D2: silver.DayCounts(1, 0, 0, 1)}
+    checks.log_counts(counts, "stock")
+    assert "stock 2021-10-07: in=3 distinct=1 duplicate=1 rejected=1" in caplog.text
+
+
+def test_a_day_cleared_after_it_was_noted_is_emptied(spark, tmp_path, monkeypatch):
+    """A call fails after noting a day with sound rows, and the day is cleared before the next call."""
+    from tallyhouse.streaming import silver as stream
+
+    feed = Feed(spark, tmp_path)
+    nothing = spark.createDataFrame([], "product_id INT, store STRING, seen INT")
+    feed.land((1, "a", 5, D1), (2, "a", 5, D2))
+    feed.run()
+    feed.land((9, "a", 5, D1))
+    with monkeypatch.context() as patch:
+        patch.setattr(stream, "bronze_to_silver", lambda *args, **more: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            feed.run()
+    bronze.ingest_day(nothing, f"{tmp_path}/bronze", D1, "json")
+    feed.run()
+    assert feed.silver() == [(2, "a", 5, D2)] == feed.batch()
+    # Cleared first and loaded again: the rows count.
+    feed.land((3, "a", 1, D1))
+    feed.run()
+    assert feed.silver() == [(2, "a", 5, D2), (3, "a", 1, D1)] == feed.batch()
