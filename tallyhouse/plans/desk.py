@@ -22,7 +22,7 @@ from tallyhouse.operators.profile import numeric_profile
 from tallyhouse.operators.ranking import top_k
 from tallyhouse.plans import star
 from tallyhouse.sources import schemas
-from tallyhouse.sources.files import read_csv, read_json, read_table, read_tables
+from tallyhouse.sources.files import WRITE_OPTIONS, read_csv, read_json, read_json_split, read_table, read_tables
 from tallyhouse.sources.views import register_views
 from tallyhouse.streaming.silver import refresh_silver
 from tallyhouse.workdir import new_folder
@@ -250,13 +250,23 @@ def json_field_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Nations encoded as JSON records and decoded again."""
-    nation = read_table(spark, folder, "nation")
-    return nation.select(F.to_json(F.struct("*")).alias("record")).select(
-        "record", F.from_json("record", nation.schema).alias("decoded")
+    """Customers encoded as JSON records and decoded again."""
+    customer = read_table(spark, folder, "customer")
+    return customer.select(F.to_json(F.struct("*")).alias("record")).select(
+        "record", F.from_json("record", customer.schema).alias("decoded")
     ).select("record", "decoded.*")
 
 
+def json_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written as records on one line a file, and read back by as many tasks as the files have splits."""
+    path = new_folder(spark, "snapshot-orders")
+    orders = read_table(spark, folder, "orders")
+    records = orders.select(F.to_json(F.struct("*"), {**WRITE_OPTIONS["json"], "ignoreNullFields": "false"}))
+    records.write.option("lineSep", ", ").text(path)
+    back = read_json_split(spark, path, orders.schema)
+    return back.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def profile_numeric(spark: SparkSession, folder: str) -> DataFrame:
     """Every numeric column of orders and of line items."""
     return numeric_profile(read_table(spark, folder, "orders")).unionByName(
@@ -329,7 +339,8 @@ def incremental_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "bronze-events-reload")
     bronze.write_days(_events(spark, folder), path, "csv")
     reload = read_table(spark, folder, "events").filter(within_day(F.col("ts"), RELOADED_DAY))
-    bronze.ingest_day(reload.withColumn("value", F.col("value") + 1), path, RELOADED_DAY, "csv")
+    # Rounded, as the sum of a double and one need not be whole cents again.
+    bronze.ingest_day(reload.withColumn("value", F.round(F.col("value") + 1, 2)), path, RELOADED_DAY, "csv")
     back = read_csv(spark, path, schemas.with_day(schemas.TABLES["events"]))
     return back.groupBy(iso_day(F.col("load_date")).alias("load_date")).agg(
         F.count("*").alias("row_count"), total_of_doubles(F.col("value")).cast("double").alias("value_sum")
@@ -376,6 +387,16 @@ def stream_silver_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     return _silver_rows(spark, table)
 
 
+def silver_write_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What the write of events to silver counted on its way, a row per load date."""
+    path = new_folder(spark, "silver-audited")
+    counts = silver.bronze_to_silver(_events(spark, folder), path, EVENT_KEYS, ["event_id"])
+    rows = [(day and day.isoformat(), n.rows_in, n.rows_distinct, n.rows_duplicate, n.rows_rejected) for day, n in counts.items()]
+    return spark.createDataFrame(
+        rows, "load_date STRING, rows_in BIGINT, rows_distinct BIGINT, rows_duplicate BIGINT, rows_rejected BIGINT"
+    )
+
+
 def load_audit(spark: SparkSession, folder: str) -> DataFrame:
     audit = checks.load_audit(_events(spark, folder), ["user_id", "event_type"])
     return audit.withColumn("load_date", iso_day(F.col("load_date")))

@@ -111,10 +111,13 @@ ORACLE = {
         FROM events GROUP BY 1
     """,
     "json_records": """
-        SELECT concat('{"n_nationkey":', n_nationkey, ',"n_name":"', n_name, '","n_regionkey":', n_regionkey, '}')
-                   AS record,
-               n_nationkey, n_name, n_regionkey
-        FROM nation
+        SELECT concat('{"c_custkey":', c_custkey, ',"c_name":"', c_name, '","c_nationkey":', c_nationkey,
+                      ',"c_acctbal":', c_acctbal, ',"c_mktsegment":"', c_mktsegment, '"}') AS record,
+               c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+        FROM customer
+    """,
+    "json_snapshot": """
+        SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS o_orderdate) FROM orders
     """,
     "bronze_json_roundtrip": """
         SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props,
@@ -168,6 +171,18 @@ ORACLE = {
                COUNT(*) FILTER (WHERE NOT valid) AS rows_rejected
         FROM rows GROUP BY load_date
     """,
+    "silver_write_audit": """
+        WITH rows AS (
+            SELECT strftime(ts, '%Y-%m-%d') AS load_date, user_id, trim(event_type) AS event_type,
+                   ts IS NOT NULL AND user_id IS NOT NULL AND coalesce(trim(event_type), '') <> '' AS valid
+            FROM events)
+        SELECT load_date, COUNT(*) AS rows_in,
+               COUNT(DISTINCT CASE WHEN valid THEN (user_id, event_type) END) AS rows_distinct,
+               COUNT(*) FILTER (WHERE valid)
+                   - COUNT(DISTINCT CASE WHEN valid THEN (user_id, event_type) END) AS rows_duplicate,
+               COUNT(*) FILTER (WHERE NOT valid) AS rows_rejected
+        FROM rows GROUP BY load_date
+    """,
     "missing_load_days": """
         SELECT strftime(expected.day, '%Y-%m-%d') AS load_date
         FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-02', INTERVAL 1 DAY)) AS day)

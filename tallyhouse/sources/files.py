@@ -71,6 +71,31 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataF
     return spark.read.schema(schema).options(**READ_OPTIONS["json"]).json(path)
 
 
+def read_json_split(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """As ``read_json``, with several tasks to a file, even where it is one array on a single line. Records must be flat.
+
+    The text is cut after every closing brace, wherever a split of the file begins. A piece that is not a whole record, because a
+    brace stands inside a value or a record holds another, fails the query: such files are for ``read_json``. No row is
+    read in part: pieces before the first odd one are whole records, and the odd one does not parse. Arrays, lines
+    of records, and white space anywhere between them all read the same.
+    """
+    return _split_records(spark.read, path, schema).select("_record.*")
+
+
+def _split_records(reader, path: str, schema: StructType | str) -> DataFrame:
+    pieces = reader.option("lineSep", "}").text(path)
+    # What stands between records, and nothing else, at the end of a file.
+    piece = F.regexp_replace("value", r"^[\s,\[\]\x{FEFF}]+", "")
+    record = F.concat(F.col("_piece"), F.lit("}"))
+    # Without its strings a flat record holds no further brace, and a piece cut inside a string holds a quote.
+    bare = F.regexp_replace(record, r'"(?:[^"\\]|\\.)*+"', "")
+    whole = F.when(bare.rlike(r'^\{[^{}\[\]"]*\}$'), record).otherwise(
+        F.raise_error(F.concat(F.lit("not a whole flat record, read this file with read_json: "), F.substring(F.col("_piece"), 1, 200)))
+    )
+    rows = pieces.select("*", "_metadata", piece.alias("_piece")).filter(F.col("_piece") != "")
+    return rows.select(F.from_json(whole, schema).alias("_record"), F.col("_metadata.file_name").alias("_file"))
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, null_mark: str = NULL_MARK) -> DataFrame:
     """Header CSV, as the bronze layer writes it.
 
@@ -112,18 +137,25 @@ def read_dated_dumps(
     return dumps.withColumn("load_date", _day_in_name())
 
 
-def read_dated_snapshots(spark: SparkSession, root: str, name: str, schema: StructType | str) -> DataFrame:
-    """Hand-laid snapshots ``root/<year>/<month>/<name>_<year>_<month>_<day>.json`` with their day."""
-    snapshots = (
-        spark.read.schema(schema)
-        .options(**READ_OPTIONS["json"])
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"{name}_[0-9][0-9][0-9][0-9]_[0-9][0-9]_[0-9][0-9].json")
-        .json(root)
-    )
+def read_dated_snapshots(
+    spark: SparkSession, root: str, name: str, schema: StructType | str, split: bool = False
+) -> DataFrame:
+    """Hand-laid snapshots ``root/<year>/<month>/<name>_<year>_<month>_<day>.json`` with their day.
+
+    A snapshot on one line is read by one task; ``split`` divides it, as ``read_json_split`` does, if its records are flat.
+    """
+    files = f"{name}_[0-9][0-9][0-9][0-9]_[0-9][0-9]_[0-9][0-9].json"
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", files)
+    if split:
+        return _split_records(reader, root, schema).select("_record.*", _day_in(F.col("_file")).alias("load_date"))
+    snapshots = reader.schema(schema).options(**READ_OPTIONS["json"]).json(root)
     return snapshots.withColumn("load_date", _day_in_name())
 
 
 def _day_in_name():
-    day = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{4}_\d{2}_\d{2})\.\w+$", 1)
+    return _day_in(F.col("_metadata.file_name"))
+
+
+def _day_in(file):
+    day = F.regexp_extract(file, r"_(\d{4}_\d{2}_\d{2})\.\w+$", 1)
     return F.to_date(day, "yyyy_MM_dd")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse import workdir
 from tallyhouse.lake import bronze, checks, silver
 from tallyhouse.sources import schemas
-from tallyhouse.sources.files import read_csv, read_dated_dumps, read_dated_snapshots, read_json
+from tallyhouse.sources.files import read_csv, read_dated_dumps, read_dated_snapshots, read_json, read_json_split
 from tallyhouse.streaming.silver import refresh_silver
 
 D1, D2, D3 = (dt.date(2021, 10, d) for d in (7, 8, 9))
@@ -550,3 +550,63 @@ def test_a_day_cleared_after_it_was_noted_is_emptied(spark, tmp_path, monkeypatc
     feed.land((3, "a", 1, D1))
     feed.run()
     assert feed.silver() == [(2, "a", 5, D2), (3, "a", 1, D1)] == feed.batch()
+
+
+# --- Snapshots on one line, by several tasks --------------------------------------------------------
+
+ODD_RECORDS = [
+    {"product_id": 1, "date": "2021-10-07"}, {"product_id": None, "date": None}, {}, {"date": "a, b", "product_id": 2},
+    {"product_id": 3, "date": 'say \\"hi\\" \\\\'}, {"product_id": 4, "date": "[1, 2] \\u007d \n é 日本"}, {"product_id": "x", "date": "bad"},
+    {"other": True, "product_id": 5}, {"product_id": 6, "date": "{ only opened {"},
+]
+
+
+@pytest.mark.parametrize("style", ["array", "spaced", "lines", "one by one", "with a mark"])
+def test_split_reader_gives_the_rows_of_the_plain_one(spark, tmp_path, style):
+    text = {
+        "array": json.dumps(ODD_RECORDS, ensure_ascii=False),
+        "spaced": json.dumps(ODD_RECORDS).replace("}, {", "} ,\t {"),
+        "lines": "\n".join(json.dumps(r) for r in ODD_RECORDS) + "\n",
+        "one by one": "\n".join(json.dumps([r]) for r in ODD_RECORDS),
+        "with a mark": "\ufeff" + json.dumps(ODD_RECORDS),
+    }[style]
+    put(tmp_path / "in/a.json", text)
+    snapshot(tmp_path / "in/empty.json", [])
+    put(tmp_path / "in/nothing.json", "")
+    schema = "product_id INT, date STRING"
+    plain = tmp_path / "plain/a.json"
+    snapshot(plain, ODD_RECORDS)
+    assert rows_of(read_json_split(spark, str(tmp_path / "in"), schema)) == rows_of(read_json(spark, str(plain), schema))
+
+
+def test_one_line_is_read_by_several_tasks(spark, tmp_path):
+    records = [record(i, D1) | {"note": "x" * (i % 50)} for i in range(30_000)]
+    snapshot(tmp_path / "a.json", records)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256KB")
+    try:
+        rows = read_json_split(spark, str(tmp_path), schemas.OUT_OF_STOCK)
+        assert rows.rdd.getNumPartitions() >= 6
+        assert rows_of(rows) == rows_of(read_json(spark, str(tmp_path), schemas.OUT_OF_STOCK))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("odd", [{"a": "x}"}, {"a": "{}", "b": 1}, {"a": {"b": 1}}, {"a": [1, 2]}, {"a": '"}{"'}])
+def test_braces_in_values_are_refused(spark, tmp_path, odd):
+    snapshot(tmp_path / "a.json", [record(1, D1), odd, record(2, D1)])
+    with pytest.raises(Exception, match="not a whole flat record"):
+        read_json_split(spark, str(tmp_path), schemas.OUT_OF_STOCK).collect()
+
+
+def test_a_file_cut_short_is_refused(spark, tmp_path):
+    put(tmp_path / "a.json", json.dumps([record(1, D1), record(2, D1)])[:-8])
+    with pytest.raises(Exception, match="not a whole flat record"):
+        read_json_split(spark, str(tmp_path), schemas.OUT_OF_STOCK).collect()
+
+
+def test_dated_snapshots_are_split_too(spark, tmp_path):
+    for day in (D1, D2):
+        snapshot(tmp_path / f"2021/10/out_of_stock_{day:%Y_%m_%d}.json", [record(p, day) for p in range(5)])
+    plain, split = (read_dated_snapshots(spark, str(tmp_path), "out_of_stock", schemas.OUT_OF_STOCK, split=s) for s in (False, True))
+    assert rows_of(split) == rows_of(plain) and len(rows_of(plain)) == 10 and split.columns == plain.columns
