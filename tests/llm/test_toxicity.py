@@ -98,6 +98,30 @@ def test_rare_words_find_their_example(spark, make):
     assert index.score("nothing known")[0] == index.none < 0.5
 
 
+def test_blocks_are_skipped_and_nothing_is_lost():
+    """Against dense cosines from the raw counts, with examples in several groups of like ones: most blocks are never added up."""
+    rng = random.Random(8)
+    groups = [[f"w{g}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(80)] for g in range(20)]
+    words = [w for group in groups for w in group] + ["common"]
+    rows = [(i, i % 2, {w: rng.randint(1, 3) for w in rng.sample(groups[i % 20], 12)} | {"common": 1}) for i in range(2_000)]
+    index = T.ToxicityIndex([], rows, {0: 1.0, 1: 1.0}, 10, words)
+    df = {w: sum(w in c for _, _, c in rows) for w in words}
+
+    def vector(counts):
+        v = np.array([(1 + np.log(counts[w])) * (np.log((1 + len(rows)) / (1 + df[w])) + 1) if w in counts else 0 for w in words])
+        return v / np.sqrt((v**2).sum())
+
+    matrix = np.array([vector(c) for _, _, c in rows])
+    index.offered = index.visited = 0
+    for i in range(60):
+        counts = {w: rng.randint(1, 3) for w in rng.sample(groups[i % 20], 12)} | {"common": 2}
+        cosine = matrix @ vector(counts)
+        want = sorted((-round(c, 9), j) for j, c in enumerate(cosine))[:10]
+        got = index.nearest(index.vector(counts))
+        assert [(-round(c, 9), j) for c, j in got] == want
+    assert index.offered == 60 * index.blocks and index.visited < index.offered / 3
+
+
 def test_nearest_over_telling_and_other_words_are_exact():
     rng = random.Random(7)
     names, words = [f"t{c}" for c in "abcde"], [f"w{c}{d}" for c in "abcdef" for d in "abcdef"]
