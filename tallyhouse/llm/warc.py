@@ -28,53 +28,83 @@ NO_DATE = "1970-01-01T00:00:00Z"
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the namespace of addresses
 
 # Elements without text of the page, and elements that end a line.
-_SILENT = "script|style|noscript|template|svg|iframe|object|textarea|select"
+_SILENT = frozenset("script style noscript template svg iframe object textarea select".split())
 _LINE = frozenset(
     "address article aside blockquote body br caption dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 head header hr html li main nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 _RUNS_ON = ("script", "style")  # without an end tag, these reach to the end of the page
-_opening = re.compile(rf"<!--|<({_SILENT})(?=[\s/>])", re.I)
+_markup = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
 _comment = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.S)
-_rest_of_tag = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+>""")
-_closing = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in _SILENT.split("|")}
-_tag = re.compile(r"""<(?:/?([a-zA-Z][^\s/>]*)(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+>|[!?][^>]*>)""")
-_title = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)</title\s*>", re.S | re.I)
-_link = re.compile(r"""<a(?=[\s/>])[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_rest_of_tag = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+_mark_in_tag = re.compile(r"""[>"']""")
+_closing = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _SILENT}
+_hides_on = re.compile(r"<!--|<(?:script|style)(?=[\s/]|\Z)", re.I)
+_end_of_title = re.compile(r"</title\s*>", re.I)
+_attribute = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _blanks = re.compile(r"[^\S\n]+")
+_control = re.compile(r"[\x00-\x1f\x7f-\x9f\u2028\u2029]")
 
 
-def visible(page: str) -> str:
-    """The page with a blank in place of each comment and silent element, up to its first end tag.
+def _tag_end(page: str, at: int) -> int:
+    """Where a tag ends whose name ends at ``at``: after the first > outside quotes; 0 if there is none.
 
-    An element without an end tag, and one closed in its own tag, hides its tag only; but script and style, which no tag
-    closes by itself, hide the rest of the page if they have no end tag, and so does a comment without an end.
+    A quote without a second one is a character like others. Of these a page has two at most, so a page's tags are run
+    through in one pass, however they are closed.
     """
-    out, at, never_closed, quoted = [], 0, set(), True
-    while found := _opening.search(page, at):
-        out += page[at : found.start()], " "
-        if not found[1]:
-            at = _comment.match(page, found.start()).end()
-            continue
-        name = found[1].lower()
-        tag = _rest_of_tag.match(page, found.end()) if quoted else None
-        quoted = tag is not None  # quotes that swallow the page are not tried again
-        after = tag.end() if tag else page.find(">", found.end()) + 1
-        if not after and name not in _RUNS_ON:
-            # No tag ends here any more: this is text.
-            out.append(page[found.start() : found.end()])
-            at = found.end()
-            continue
-        at = after or len(page)
-        if name in never_closed or page[at - 2] == "/" and name not in _RUNS_ON:
+    if found := _rest_of_tag.match(page, at):
+        return found.end()
+    while found := _mark_in_tag.search(page, at):
+        if found[0] == ">":
+            return found.end()
+        at = page.find(found[0], found.end()) + 1 or found.end()
+    return 0
+
+
+def pieces(page: str) -> Iterator[tuple[int, int, str | None, int]]:
+    """(first, last, what, end): the text ``page[first:last]``, and what stands from ``last`` to ``end``.
+
+    That is a tag, by its name (a slash before it in an end tag), something hidden (a blank), a declaration (empty), or
+    nothing (None, at the end of the page). Hidden are comments, and silent elements from their tag to their first end tag. A silent
+    element without an end tag, and one closed in its own tag, hides its tag only; but script and style, which no
+    tag closes by itself, hide the rest of the page if they have no end tag, and so does a comment without an end. A tag ends at
+    the first > outside quotes; where quotes swallow the page, at the first > from there on.
+
+    One pass: what was searched in vain to the end of the page is not searched again.
+    """
+    at, quoted, never_closed = 0, True, set()
+    while found := _markup.search(page, at):
+        start, name = found.start(), (found[3] or "").lower()
+        if found[1]:
+            end = _comment.match(page, start).end()
+            yield at, start, " ", end
+            at = end
             continue
-        if end := _closing[name].search(page, at):
-            at = end.end()
-        elif name in _RUNS_ON:
-            at = len(page)
-        else:
-            never_closed.add(name)
-    return "".join([*out, page[at:]])
+        end = _tag_end(page, found.end()) if name and quoted else 0
+        if not end:
+            quoted = quoted and not name
+            end = page.find(">", found.end()) + 1
+        if not end:
+            # No tag ends here any more: all else is text, up to what hides the rest.
+            if hides := _hides_on.search(page, start):
+                yield at, hides.start(), " ", len(page)
+                return
+            break
+        what = found[2] + name if name else ""
+        if name in _SILENT and not found[2]:
+            what = " "
+            if name not in never_closed and (page[end - 2] != "/" or name in _RUNS_ON):
+                closing = _closing[name].search(page, end)
+                closed = page.find(">", closing.end()) + 1 if closing else 0
+                if closed:
+                    end = closed
+                elif name in _RUNS_ON:
+                    end = len(page)
+                else:
+                    never_closed.add(name)
+        yield at, start, what, end
+        at = end
+    yield at, len(page), None, len(page)
 
 
 def page_text(page: str) -> str:
@@ -82,22 +112,35 @@ def page_text(page: str) -> str:
 
     What stands inside noscript, template, svg, iframe, object, textarea and select elements is left out as well.
     """
-    parts = _tag.split(visible(page))
-    out = [parts[0].replace("\n", " ")]
-    for name, text in zip(parts[1::2], parts[2::2]):
-        if name and name.lower() in _LINE:
+    out = []
+    for first, last, what, _ in pieces(page):
+        out.append(page[first:last].replace("\n", " "))
+        if what and what.removeprefix("/") in _LINE:
             out.append("\n")
-        out.append(text.replace("\n", " "))
+        elif what == " ":
+            out.append(" ")
     lines = (_blanks.sub(" ", line).strip() for line in html.unescape("".join(out)).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
 def page_facts(page: str) -> dict:
     """Title and links, in their order."""
-    seen = visible(page)
-    title = _title.search(seen)
-    links = [html.unescape(a or b or c) for a, b, c in _link.findall(seen)]
-    return {"title": " ".join(html.unescape(title[1]).split()) if title else None, "links": links}
+    title, titled, links = None, 0, []
+    for _, last, what, end in pieces(page):
+        if what == "title" and not titled:
+            titled = end
+            if closed := _end_of_title.search(page, end):
+                title = " ".join(html.unescape(page[end : closed.start()]).split())
+        elif what == "a":
+            attributes = ((m[1].lower(), m[2] or m[3] or m[4]) for m in _attribute.finditer(page, last + 2, end - 1))
+            if href := next((value for name, value in attributes if name == "href" and value), None):
+                links.append(html.unescape(href))
+    return {"title": title, "links": links}
+
+
+def header_value(value: str) -> str:
+    """``value`` on one line: control characters and line ends as percent escapes of their UTF-8 bytes."""
+    return _control.sub(lambda c: "".join(f"%{b:02X}" for b in c[0].encode("utf-8")), value)
 
 
 def digest(block: bytes) -> str:
@@ -147,6 +190,7 @@ def derivatives(key: int | None, source_id: str, uri: str | None, date: str, hea
         }
         if uri is not None:
             head |= {"WARC-Target-URI": uri, "WARC-Refers-To-Target-URI": uri}
+        head = {name: header_value(value) for name, value in head.items()}
         out.append((key, kind, own, source_id, uri, date, content_type, len(raw), head["WARC-Block-Digest"], payload_digest, list(head.items()), block))
     return out
 
@@ -157,7 +201,9 @@ def build(responses: DataFrame) -> DataFrame:
     A null record_id is made from key, address and payload. Null or empty payloads give a metadata record without
     title and links and an empty conversion record; a null address is left out of the headers; a null date is the
     epoch; null headers are none. Repeated rows give repeated records with the same identifiers. Other columns are not
-    read; an empty table gives no rows.
+    read; an empty table gives no rows. A page takes time in proportion to its length, whatever its tags, quotes and elements
+    leave open. Control characters and line ends in addresses, dates and identifiers stand percent-encoded in the record's
+    headers, so that no value can begin a header of its own; the columns have them as they came.
     """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,5 @@
 import json
+import time
 from html.parser import HTMLParser
 from pathlib import Path
 
@@ -123,3 +124,51 @@ def test_rows_columns_and_names(spark):
     assert next(r for r in first if r["record_type"] == "conversion")["headers"]["WARC-Refers-To-Date"] == "2020-01-02T03:04:05Z"
     assert all("WARC-Target-URI" not in r["headers"] for r in got if r["key"] is None)
     assert W.build(df.limit(0)).count() == 0
+
+
+OPEN_SHAPES = {
+    "open a": "<a ", "open title": "<title>", "open quoted a": "<a 'x' ", "open svg": "<svg ", "svg": "<svg>", "titles": "<title>x</titl ",
+    "half quotes": "<a ' \" ", "comments": "<!-- -- ", "declarations": "<! ", "end tags": "</svg ", "select, end": "<select></select ",
+    "script": "<script ", "names": "<a<a<a", "hrefs": "<a href=", "quoted hrefs": "<a href='\">", "attributes": "<a b c = ", "entities": "&amp",
+    "less": "<", "spaces": "<a  \n\t", "title, end": "<title></title ", "link": "<a href=x>", "slashes": "</a/", "blank lines": " \n",
+}
+
+
+@pytest.mark.parametrize("ends", ["", ">", "'>", '">', "</svg></title></a>"])
+@pytest.mark.parametrize("shape", OPEN_SHAPES)
+def test_time_grows_with_the_page_only(shape, ends):
+    page = OPEN_SHAPES[shape] * (1_000_000 // len(OPEN_SHAPES[shape])) + ends
+    start = time.process_time()
+    W.page_text(page)
+    W.page_facts(page)
+    assert time.process_time() - start < 4
+
+
+def test_links_stand_in_attributes_only():
+    page = '<a title="href=/no" data-href=/no href = "/y?a=1">l</a><A HREF=\'/x>z\'>m</A><a href>n</a><!-- <a href=/no> --><a href=""/>'
+    assert W.page_facts(page)["links"] == ["/y?a=1", "/x>z"]
+    assert W.page_facts("<a href='/x>open <p>b</p><title>t") == {"title": None, "links": []}
+    assert W.page_text('<a title="a > b">x</a> <a "lone>y') == "x y"
+
+
+def test_header_values_stay_on_their_line(spark, tmp_path):
+    """Addresses, dates and identifiers with line ends come back as one header each, and nothing is added."""
+    rows = [
+        (1, "<urn:x\r\nA: b>", "http://a/\r\nX: y", "2020-01-02T03:04:05Z\nB: c", {"H\r\nI: j": "k\r\nL: m"}, "<p>t"),
+        (2, None, "http://b/\u2028\x00\x85 é", None, {}, "x\r\n\r\nWARC/1.1\r\n"),
+    ]
+    schema = "key long, record_id string, target_uri string, date string, headers map<string,string>, payload string"
+    records = W.build(spark.createDataFrame(rows, schema))
+    W.write(records, f"file://{tmp_path}/warc")
+    parsed = [r for file in Path(tmp_path, "warc").glob("part-*") for r in W.parse(file.read_bytes())]
+    got = {r["record_id"]: r for r in records.collect()}
+    assert len(parsed) == 4
+    for headers, block in parsed:
+        row = got[headers["WARC-Record-ID"]]
+        assert headers == row["headers"] and block.decode() == row["block"]
+        assert set(headers) <= {
+            "WARC-Type", "WARC-Record-ID", "WARC-Date", "WARC-Refers-To", "WARC-Refers-To-Date", "WARC-Block-Digest", "Content-Type",
+            "Content-Length", "WARC-Target-URI", "WARC-Refers-To-Target-URI",
+        }
+    assert {h["WARC-Target-URI"] for h, _ in parsed} == {"http://a/%0D%0AX: y", "http://b/%E2%80%A8%00%C2%85 é"}
+    assert {r["target_uri"] for r in got.values()} == {rows[0][2], rows[1][2]}
