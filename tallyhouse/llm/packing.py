@@ -1,12 +1,17 @@
 """Best-fit packing of token sequences, in bulk-synchronous rounds.
 
-Documents (pieces) and the gaps left in the sequences are range-sorted together by size, largest first. Every range
-sweeps its rows: a document goes to the smallest gap that holds it, its successor among the gaps, and the rest of that
-gap is open again to what comes later in the range. What a range cannot place is matched across ranges. Both lists
-are ranked within their range, by size, so it is enough to know how many documents and gaps of each size a range has
-left: from large to small, the documents of a size take the smallest gaps that hold them, and where several claim
-one gap their ranks decide. Every task then looks up its documents' gaps by rank, the gaps are brought up to date, and
-the next round begins, with new sequences for what no gap holds: as many as its sum needs.
+The first round deals the documents (pieces) by hash into ranges of bounded size, each with documents of all sizes, sorted from
+large to small. A range gets as many new sequences as its sum fills, and sweeps: a document goes to the smallest gap that holds
+it, its successor among the gaps, and the rest of that gap is open again to what comes later. Ranges of like sizes would
+not do here: large documents would leave gaps that no small one is there to fill.
+
+What this leaves, a few documents and gaps of a range, goes through further rounds. There documents and gaps are
+range-sorted together by size, largest first, and every range sweeps its rows in the same way. What a range cannot
+place is matched across ranges. Both lists are ranked within their range, by size, so it is enough to know how many
+documents and gaps of each size a range has left: from large to small, the documents of a size take the smallest gaps
+that hold them, and where several claim one gap their ranks decide. Every task then looks up its documents' gaps by
+rank, the gaps are brought up to date, and the next round begins, with new sequences for what no gap holds: as many
+as its sum needs. Each round logs how many documents its sweeps placed, and how many went across ranges.
 
 The driver gets counts by range and size: at most the capacity plus the number of ranges, for documents and for gaps,
 whatever the number of rows. Each round's rows are a written table: a lost executor repeats at most that round.
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 import gc
 import json
+import logging
 import math
 import os
 import re
@@ -34,9 +40,11 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import MEMO_ENTRIES, Memo, read, shared, staged
 from tallyhouse.llm.token_counts import byte_letters
 
+log = logging.getLogger(__name__)
+
 CAPACITY = 2048
 END = 0
-ROWS_PER_RANGE = 100_000
+ROWS_PER_RANGE = 20_000
 _BYTES_AT_ONCE = 8 << 20
 _TEXT_AT_ONCE = 3 << 20
 
@@ -219,53 +227,75 @@ def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
 SWEPT = "part int, kind string, id long, size int, seq long, place long"
 
 
-def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Best fit within one range. Rows come by size, largest first, gaps before documents of the same size."""
-    part = TaskContext.get().partitionId()
+def _fit(rows: Iterator[tuple[int, int, int]]) -> tuple[list, list, list]:
+    """Best fit of (1 for a document, size, id) and gaps (0, size, sequence), largest first, gaps before documents of the same size.
+
+    Gives (document, size, sequence, order) of what is placed, (document, size) of what is not, and (sequence, size) of the gaps
+    that are left, largest first.
+    """
     at_size: dict[int, list[int]] = {}
     open_sizes = 0  # bit s is set while there is a gap of size s
     placed, items = [], []
-    for batch in batches:
-        kinds, sizes, ids = (batch.column(i).to_pylist() for i in range(3))
-        for is_item, size, id_ in zip(kinds, sizes, ids):
-            if not is_item:
-                at_size.setdefault(size, []).append(id_)
-                open_sizes |= 1 << size
-                continue
-            fitting = open_sizes >> size
-            if not fitting:
-                items.append((id_, size))
-                continue
-            gap = size + (fitting & -fitting).bit_length() - 1
-            row = at_size[gap]
-            seq = row.pop()
-            if not row:
-                open_sizes &= ~(1 << gap)
-            placed.append((id_, size, seq, len(placed)))
-            if gap > size:
-                at_size.setdefault(gap - size, []).append(seq)
-                open_sizes |= 1 << (gap - size)
-    gaps = [(seq, size) for size in sorted(at_size, reverse=True) for seq in at_size[size]]
+    for is_item, size, id_ in rows:
+        if not is_item:
+            at_size.setdefault(size, []).append(id_)
+            open_sizes |= 1 << size
+            continue
+        fitting = open_sizes >> size
+        if not fitting:
+            items.append((id_, size))
+            continue
+        gap = size + (fitting & -fitting).bit_length() - 1
+        row = at_size[gap]
+        seq = row.pop()
+        if not row:
+            open_sizes &= ~(1 << gap)
+        placed.append((id_, size, seq, len(placed)))
+        if gap > size:
+            at_size.setdefault(gap - size, []).append(seq)
+            open_sizes |= 1 << (gap - size)
+    return placed, items, [(seq, size) for size in sorted(at_size, reverse=True) for seq in at_size[size]]
+
+
+def _swept(part: int, placed: list, items: list, gaps: list) -> Iterator[pa.RecordBatch]:
     for kind, rows in (
-        ("placed", [(i, size, seq, place) for i, size, seq, place in placed]),
+        ("placed", placed),
         ("item", [(i, size, None, rank) for rank, (i, size) in enumerate(items)]),
         ("gap", [(None, size, seq, rank) for rank, (seq, size) in enumerate(gaps)]),
     ):
         if rows:
-            id_, size, seq, place = zip(*rows)
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([part] * len(rows), pa.int32()),
                     pa.array([kind] * len(rows), pa.string()),
-                    pa.array(id_, pa.int64()),
-                    pa.array(size, pa.int32()),
-                    pa.array(seq, pa.int64()),
-                    pa.array(place, pa.int64()),
+                    *(pa.array(column, kind_) for column, kind_ in zip(zip(*rows), kinds)),
                 ],
                 ["part", "kind", "id", "size", "seq", "place"],
             )
 
 
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Best fit within one range. Rows come by size, largest first, gaps before documents of the same size."""
+    rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(3))))
+    yield from _swept(TaskContext.get().partitionId(), *_fit(rows))
+
+
+def _sweep_dealt(capacity: int):
+    """Best fit of one range of documents of all sizes, in as many new sequences as they fill."""
+
+    def sweep(key: tuple, table: pa.Table) -> pa.Table:
+        part = key[0].as_py()
+        table = table.sort_by([("size", "descending"), ("id", "ascending")])
+        sizes, ids = table.column("size").to_pylist(), table.column("id").to_pylist()
+        first = part << 32
+        fresh = [(0, capacity, 2 * (first + i)) for i in range(sum(sizes) // capacity)]
+        out = list(_swept(part, *_fit([*fresh, *((1, size, id_) for size, id_ in zip(sizes, ids))])))
+        return pa.Table.from_batches(out)
+
+    return sweep
+
+
 # Documents first to last of a range (by rank) go to gaps of another, ``each`` to a gap, from the gap ``top`` down.
 Match = namedtuple("Match", "part first last gap_part top each turn")
 
@@ -339,13 +369,27 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY, rows_per_range: int = R
         "id", (F.col("id") * 2 + 1).alias("seq"), F.lit(0).alias("round"), F.lit(0).cast("long").alias("place"), "size"
     )
     left = items.filter(F.col("size") < capacity).select("id", "size")
-    total = left.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
-    n_items, n_gaps, wanted = total["n"], 0, total["size"]
-    gaps = spark.createDataFrame([], "seq long, size int")
-    placed, opened, round_ = [whole], 0, 0
+    ranges = max(1, math.ceil(left.count() / rows_per_range))
+    dealt = left.select(F.pmod(F.xxhash64("id"), F.lit(ranges)).cast("int").alias("deal"), "id", "size").groupBy("deal")
+    swept = staged(dealt.applyInArrow(_sweep_dealt(capacity), SWEPT), "packing-dealt")
+    placed = [whole, swept.filter("kind = 'placed'").select("id", "seq", F.lit(1).alias("round"), "place", "size")]
+    is_item = F.col("kind") == "item"
+    total = swept.agg(
+        F.count(F.when(F.col("kind") == "placed", 1)).alias("placed"),
+        F.count(F.when(is_item, 1)).alias("n"),
+        F.coalesce(F.sum(F.when(is_item, F.col("size"))), F.lit(0)).alias("size"),
+        F.min(F.when(is_item, F.col("size"))).alias("least"),
+    ).first()
+    n_items, wanted = total["n"], total["size"]
+    log.info("round 1: %d range(s), sweeps placed %d of %d document(s)", ranges, total["placed"], total["placed"] + n_items)
+    left = swept.filter(is_item).select("id", "size")
+    # Gaps smaller than all that is left stay as they are.
+    gaps = swept.filter((F.col("kind") == "gap") & (F.col("size") >= (total["least"] or capacity))).select("seq", "size")
+    n_gaps = gaps.count() if n_items else 0
+    opened, round_ = ranges << 32, 1
     while n_items:
         round_ += 1
-        # The gaps of the last round hold none of what is left.
+        # After the second round, the gaps of the last one hold none of what is left.
         more = math.ceil(wanted / capacity)
         fresh = spark.range(opened, opened + more).select((F.col("id") * 2).alias("seq"), F.lit(capacity).alias("size"))
         gaps, n_gaps, opened = gaps.unionByName(fresh), n_gaps + more, opened + more
@@ -368,6 +412,9 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY, rows_per_range: int = R
         )
         left, gaps = swept.filter("kind = 'item'"), swept.filter("kind = 'gap'")
         matches = _across(items_left, gaps_left)
+        moved = sum(m.last - m.first + 1 for m in matches)
+        by_sweeps = sum(r["n"] for r in counts if r["kind"] == "placed")
+        log.info("round %d: %d range(s), sweeps placed %d document(s), %d went across, %d left", round_, ranges, by_sweeps, moved, n_items - moved)
         if matches:
             by_part: dict[int, list] = {}
             for match in matches:
@@ -387,7 +434,6 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY, rows_per_range: int = R
             gaps = gaps.join(used, ["part", "place"], "left").select(
                 "seq", (F.col("size") - F.coalesce("used", F.lit(0))).cast("int").alias("size")
             )
-            moved = sum(m.last - m.first + 1 for m in matches)
             size_of = left.filter("sent").agg(F.sum("size")).first()[0]
             n_items, wanted = n_items - moved, wanted - size_of
             left = left.filter("not sent")

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -92,6 +93,19 @@ def best_fit_decreasing(sizes, capacity=2048):
     return len(gaps)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sweeps_place_nearly_all_documents(spark, caplog, seed):
+    """40 ranges: the sweeps place the documents, and what goes across ranges is little. Few sequences beyond the bound."""
+    rng = random.Random(seed)
+    sizes = [min(2047, int(rng.paretovariate(0.9) * 150)) if rng.random() < 0.7 else rng.randint(1, 2047) for _ in range(8_000)]
+    caplog.set_level("INFO")
+    n = packed_sizes(spark, sizes, 200)
+    swept, of = (int(x) for x in re.search(r"round 1: 40 range\(s\), sweeps placed (\d+) of (\d+)", caplog.text).groups())
+    across = sum(int(x) for x in re.findall(r"document\(s\), (\d+) went across", caplog.text))
+    assert of == len(sizes) and swept >= 0.9 * of and across <= 0.1 * of
+    assert n <= 1.01 * max(-(-sum(sizes) // 2048), best_fit_decreasing(sizes))
+
+
 def test_matches_across_ranges():
     items = [(1, 900, 1), (2, 400, 5), (2, 60, 3)]
     gaps = [(0, 1000, 2), (1, 450, 1)]
