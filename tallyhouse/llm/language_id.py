@@ -4,10 +4,11 @@ A word that the model knows is scored by its log frequency in each language. Any
 over its character n-grams of the greatest length of which the model knows at least one, down to single letters.
 A text's score is the mean over its words.
 
-The model is fitted on a bounded sample of the labelled rows: ``rows_per_language`` of them, taken by a hash of the
-row, and of these as many as have ``chars_per_language`` characters in all, each whole. Counting, and the choice of
-the most frequent words and n-grams, run on Spark; what is broadcast has at most (1 + n-gram lengths) *
-``entries_per_length`` entries a language and ``entries`` in all, whatever the size of the table.
+The model is fitted on a bounded sample of the labelled rows, of all languages that they name: ``rows_per_language`` of
+them (fewer if more than ``rows`` in all), taken by a hash of the row, and of these as many as have ``chars_per_language``
+characters in all, each whole. Counting, and the choice of the most frequent words and n-grams, run on Spark; what is broadcast
+has at most (1 + n-gram lengths) * ``entries_per_length`` entries a language and ``entries`` in all, whatever the size
+of the table. A model keeps an entry's frequencies of the languages that have it only, and n-grams by a 64-bit hash in a sorted array.
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,30 +31,26 @@ from tallyhouse.llm.common import Memo, crc32_of_id, free_name, read, shared
 
 UNDETERMINED = "und"
 _WORDS = re.compile(r"[^\W\d_]+").findall
-UNSEEN_ENTRIES = 80_000  # of words that a worker remembers beside the model
-_PIECE = 64  # a longer word is looked up in pieces of so many letters
+UNSEEN_ENTRIES = 80_000  # of words that a worker remembers beside the model; fewer if there are many languages
+_GRAMS_AT_ONCE = 10_000
+_TEXTS_AT_ONCE = 500
 
 
 @dataclass(frozen=True)
 class Settings:
     rows_per_language: int = 1_000
+    rows: int = 200_000  # of all languages; many languages share them evenly
     chars_per_language: int = 4_000_000
-    entries_per_length: int = 12_000
+    entries_per_length: int = 30_000
     longest_gram: int = 5
     least_count: int = 2
     penalty: float = 7.0  # minus log10 frequency of what a language does not have
-    max_languages: int = 200  # the most frequent ones
-    entries: int = 600_000  # of all languages and lengths; many languages share them evenly
+    entries: int = 1_200_000  # of all languages and lengths; many languages share them evenly
 
 
 def words_of(text: str) -> Counter:
     """Lower-case runs of letters, normalised, with their counts."""
-    found = Counter(_WORDS(unicodedata.normalize("NFC", text).lower()))
-    for word in [w for w in found if len(w) > _PIECE]:
-        n = found.pop(word)
-        for first in range(0, len(word), _PIECE):
-            found[word[first : first + _PIECE]] += n
-    return found
+    return Counter(_WORDS(unicodedata.normalize("NFC", text).lower()))
 
 
 def grams_of(word: str, length: int) -> list[str]:
@@ -60,36 +58,65 @@ def grams_of(word: str, length: int) -> list[str]:
     return [padded[i : i + length] for i in range(len(padded) - length + 1)]
 
 
+def _hashes(grams: Iterable[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, grams), np.uint64)
+
+
 class LanguageModel:
     """Penalties (minus log10 of the relative frequency) of words and n-grams by language; lower is likelier."""
 
-    def __init__(self, languages: list[str], entries: list[tuple[int, str, int, int]], longest: int, penalty: float):
-        """entries: (length, or 0 for a whole word; text; language number; count)."""
+    def __init__(self, languages: list[str], entries: Iterable[tuple[int, str, int, int]], longest: int, penalty: float):
+        """entries: (length, or 0 for a whole word; text; language number; count), those of a text in any order."""
         self.languages, self.longest, self.penalty = languages, longest, penalty
-        totals = np.zeros((longest + 1, len(languages)))
-        for length, _, language, n in entries:
-            totals[length, language] += n
-        self.known: list[dict[str, int]] = [{} for _ in range(longest + 1)]
-        self.table = np.full((len({e[:2] for e in entries}), len(languages)), penalty, np.float32)
-        place = 0
+        self.words: dict[str, int] = {}
+        places: dict[str, int] = {}
+        lengths, rows, of, counts = [], [], [], []
         for length, text, language, n in entries:
-            row = self.known[length].setdefault(text, place)
-            place += row == place
-            self.table[row, language] = min(penalty, -math.log10(n / totals[length, language]))
-        self.of_word = Memo(self.unseen, UNSEEN_ENTRIES)
+            known = places if length else self.words
+            # A row for each word and each n-gram; n-grams of different lengths are different texts.
+            rows.append(known.setdefault(text, len(places) + len(self.words)))
+            lengths.append(length)
+            of.append(language)
+            counts.append(n)
+        lengths, rows, of, counts = (np.array(x, np.int64) for x in (lengths, rows, of, counts))
+        totals = np.bincount(lengths * len(languages) + of, counts, (longest + 1) * len(languages)).reshape(longest + 1, -1)
+        order = np.argsort(rows, kind="stable")
+        lengths, rows, of, counts = lengths[order], rows[order], of[order], counts[order]
+        # Of each row the languages that have it, and by how much they are likelier than those that do not.
+        share = -np.log10(counts / totals[lengths, of]) if len(counts) else np.zeros(0)
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(places) + len(self.words)))]).astype(np.int64)
+        self.of = of.astype(np.int32)
+        self.gain = (penalty - np.minimum(penalty, share)).astype(np.float32)
+        keys, own = _hashes(places), np.fromiter(places.values(), np.int32, len(places))
+        order = np.argsort(keys)
+        self.gram_keys, self.gram_rows = keys[order], own[order]
+        self._ready()
+
+    def _ready(self) -> None:
+        self.of_word = Memo(self.unseen, max(1, min(UNSEEN_ENTRIES, 20 * UNSEEN_ENTRIES // max(1, len(self.languages)))))
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "of_word"}
 
     def __setstate__(self, state) -> None:
         self.__dict__.update(state)
-        self.of_word = Memo(self.unseen, UNSEEN_ENTRIES)
+        self._ready()
+
+    def __len__(self) -> int:
+        return len(self.of)
+
+    def gains(self, rows: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Weighted sum of what the rows take off each language's penalty."""
+        first = self.starts[rows]
+        n = self.starts[rows + 1] - first
+        at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+        return np.bincount(self.of[at], np.repeat(weight, n) * self.gain[at], len(self.languages))
 
     def score(self, word: str) -> np.ndarray | None:
         """Penalty by language; None if there is no letter in it."""
-        row = self.known[0].get(word)
+        row = self.words.get(word)
         if row is not None:
-            return self.table[row]
+            return self.penalty - self.gains(np.array([row]), np.ones(1))
         return np.frombuffer(found, np.float32) if (found := self.of_word[word]) else None
 
     def unseen(self, word: str) -> bytes:
@@ -97,26 +124,39 @@ class LanguageModel:
         if not any(map(str.isalpha, word)):
             return b""
         for length in range(self.longest, 0, -1):
-            known = self.known[length]
-            rows = [row for gram in grams_of(word, length) if (row := known.get(gram)) is not None]
-            if rows:
+            known, gained = 0, np.zeros(len(self.languages))
+            for rows in self.rows_of_grams(word, length):
+                known += len(rows)
+                gained += self.gains(rows, np.ones(len(rows)))
+            if known:
                 # An n-gram that no language has says nothing and counts for none of them.
-                return self.table[rows].mean(axis=0).tobytes()
+                return (self.penalty - gained / known).astype(np.float32).tobytes()
         return np.full(len(self.languages), self.penalty, np.float32).tobytes()
 
+    def rows_of_grams(self, word: str, length: int) -> Iterator[np.ndarray]:
+        """The rows of a word's n-grams that are known, some thousand n-grams at a time."""
+        padded = f" {word} " if length > 1 else word
+        for first in range(0, len(padded) - length + 1, _GRAMS_AT_ONCE):
+            last = min(first + _GRAMS_AT_ONCE, len(padded) - length + 1)
+            keys = _hashes(padded[i : i + length] for i in range(first, last))
+            at = np.searchsorted(self.gram_keys, keys)
+            at[at == len(self.gram_keys)] = 0
+            yield self.gram_rows[at[self.gram_keys[at] == keys]] if len(self.gram_keys) else at[:0]
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, share of belief in it). Ties go to the language that comes first by name."""
         counts = words_of(text) if text else {}
         if not counts or not self.languages:
             return UNDETERMINED, 0.0
-        rows = list(map(self.known[0].get, counts))
+        rows = list(map(self.words.get, counts))
         weight = np.fromiter(counts.values(), np.float64, len(counts))
         new = [i for i, row in enumerate(rows) if row is None]
         total, size = np.zeros(len(self.languages)), 0.0
         if len(new) < len(rows):
             known = np.array([row for row in rows if row is not None])
             own = np.delete(weight, new)
-            total, size = own @ self.table[known].astype(np.float64), own.sum()
+            size = own.sum()
+            total = self.penalty * size - self.gains(known, own)
         if new:
             words = list(counts)
             found = [self.of_word[words[i]] for i in new]
@@ -156,22 +196,27 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> LanguageModel:
     rows = labelled.filter("lang is not null and text is not null").select(
         F.xxhash64("doc_id", "text").alias("row"), "lang", F.length("text").alias("chars")
     )
-    common = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(settings.max_languages)
+    # By the least hashes of a row. Nearly all other rows go before any are sorted: what is left of a language is
+    # hardly more than its share, however many rows it has, and whatever part of them are copies.
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("row").alias("n"))
+    languages = [(r["lang"], r["n"]) for r in sizes.orderBy("lang").collect()]
+    per_language = min(settings.rows_per_language, max(1, settings.rows // max(1, len(languages))))
+    share = F.least(F.lit(1.0), (1.5 * per_language + 10 * math.sqrt(per_language) + 10) / F.col("n"))
+    few = rows.join(sizes, "lang").filter(F.col("row") <= (share * 2.0**64 - 2.0**63).cast("long")).drop("n")
     by_hash = Window.partitionBy("lang").orderBy("row")
     first = (
-        rows.withColumn("place", F.row_number().over(by_hash))
-        .filter(F.col("place") <= settings.rows_per_language)
+        few.groupBy("lang", "row").agg(F.min("chars").alias("chars"))
+        .withColumn("place", F.row_number().over(by_hash))
+        .filter(F.col("place") <= per_language)
         .withColumn("before", F.sum("chars").over(by_hash.rowsBetween(Window.unboundedPreceding, 0)) - F.col("chars"))
         .filter(F.col("before") < settings.chars_per_language)
-        .join(common, "lang", "left_semi")
         .select("row", "lang")
-        .distinct()
     )
     keyed = labelled.select(F.xxhash64("doc_id", "text").alias("row"), "lang", "text")
-    # At most rows_per_language * max_languages rows of two short columns.
+    # At most ``rows`` rows of two short columns, or one a language.
     sample = keyed.join(F.broadcast(first), ["row", "lang"]).groupBy("row", "lang").agg(F.min("text").alias("text"))
     longest = settings.longest_gram
-    entries = min(settings.entries_per_length, settings.entries // (max(1, common.count()) * (longest + 1)))
+    entries = max(1, min(settings.entries_per_length, settings.entries // (max(1, len(languages)) * (longest + 1))))
     counts = (
         sample.select("lang", "text")
         .mapInArrow(lambda batches: _counted(batches, longest), "lang string, length int, gram string, n long")
@@ -181,22 +226,31 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> LanguageModel:
     )
     frequent = Window.partitionBy("lang", "length").orderBy(F.desc("n"), "gram")
     kept = counts.withColumn("place", F.row_number().over(frequent)).filter(F.col("place") <= entries)
-    table = kept.select("lang", "length", "gram", "n").toPandas()
-    languages = sorted(table["lang"].unique())
+    table = kept.select("lang", "length", "gram", "n").toArrow()
+    languages = sorted(pc.unique(table["lang"]).to_pylist())
     number = {language: i for i, language in enumerate(languages)}
-    entries = [(r.length, r.gram, number[r.lang], r.n) for r in table.itertuples(index=False)]
-    return LanguageModel(languages, entries, longest, settings.penalty)
+
+    def rows_of_table() -> Iterator[tuple[int, str, int, int]]:
+        for batch in table.to_batches(max_chunksize=10_000):
+            lang, length, gram, n = (batch.column(i).to_pylist() for i in range(4))
+            yield from zip(length, gram, map(number.__getitem__, lang), n)
+
+    return LanguageModel(languages, rows_of_table(), longest, settings.penalty)
 
 
 def language_column(spark: SparkSession, text: Column, model: LanguageModel) -> Column:
     """struct(lang_pred string, score double) of each text."""
     the_model = shared(spark, model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = the_model()
         for texts in batches:
-            yield pd.DataFrame([known.predict(t) for t in texts], columns=["lang_pred", "score"])
+            rows = []
+            for first in range(0, len(texts), _TEXTS_AT_ONCE):
+                rows.extend(map(known.predict, texts.slice(first, _TEXTS_AT_ONCE).to_pylist()))
+            names, scores = zip(*rows) if rows else ((), ())
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     return predicted(text)
 
@@ -206,7 +260,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     Only the text decides. ``und`` with score 0 where the text is null, empty or has no letter, and everywhere when
     the model has seen no labelled row. A text of letters of which the model knows none goes to the first language
-    with an even score. Repeated rows are scored each; an empty table gives no rows.
+    with an even score. Repeated rows are scored each; an empty table gives no rows. Very long texts and words are read whole.
     """
     found = free_name(docs, "_language")
     scored = docs.withColumn(found, language_column(docs.sparkSession, F.col("text"), model))

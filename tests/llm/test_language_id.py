@@ -1,6 +1,11 @@
+import math
+import re
+import unicodedata
 import zlib
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import language_id as L
 
@@ -81,5 +86,92 @@ def test_labels_and_held_out_rows_do_not_count(make):
 def test_sample_and_model_are_bounded(docs):
     small = L.Settings(rows_per_language=3, chars_per_language=2_000, entries_per_length=50, entries=1_000)
     model = L.fit(L.learnable(docs), small)
-    assert len(model.table) <= 1_000
-    assert all(len(known) <= 50 * len(model.languages) for known in model.known)
+    assert len(model) <= 1_000 and len(model.words) <= 50 * len(model.languages)
+
+
+# --- Against a plain version, from the texts on ------------------------------------------------------
+
+
+def plain_model(rows, settings):
+    """{(language, length): {text: penalty}} of (text, lang) rows, all of which are the sample."""
+    counts = {}
+    for text, lang in rows:
+        words = re.findall(r"[^\W\d_]+", unicodedata.normalize("NFC", text).lower())
+        for word in words:
+            counts.setdefault((lang, 0), Counter())[word] += 1
+            for length in range(1, settings.longest_gram + 1):
+                padded = word if length == 1 else f" {word} "
+                for i in range(len(padded) - length + 1):
+                    counts.setdefault((lang, length), Counter())[padded[i : i + length]] += 1
+    out = {}
+    for key, c in counts.items():
+        kept = sorted(((w, n) for w, n in c.items() if n >= settings.least_count), key=lambda e: (-e[1], e[0]))[: settings.entries_per_length]
+        total = sum(n for _, n in kept)
+        out[key] = {w: min(settings.penalty, -math.log10(n / total)) for w, n in kept}
+    return out
+
+
+def plain_prediction(model, text, settings, seen):
+    """(language, score); ``seen`` remembers words."""
+    languages = sorted({lang for (lang, _), c in model.items() if c})
+    words = [w for w in re.findall(r"[^\W\d_]+", unicodedata.normalize("NFC", text or "").lower()) if any(c.isalpha() for c in w)]
+    if not words or not languages:
+        return "und", 0.0
+
+    def penalty(lang, length, text):
+        return model.get((lang, length), {}).get(text, settings.penalty)
+
+    def of_word(word):
+        if word not in seen:
+            seen[word] = computed(word)
+        return seen[word]
+
+    def computed(word):
+        if any(word in model.get((lang, 0), {}) for lang in languages):
+            return [penalty(lang, 0, word) for lang in languages]
+        for length in range(settings.longest_gram, 0, -1):
+            padded = word if length == 1 else f" {word} "
+            grams = [padded[i : i + length] for i in range(len(padded) - length + 1)]
+            grams = [g for g in grams if any(g in model.get((lang, length), {}) for lang in languages)]
+            if grams:
+                return [sum(penalty(lang, length, g) for g in grams) / len(grams) for lang in languages]
+        return [settings.penalty] * len(languages)
+
+    mean = [sum(column) / len(words) for column in zip(*map(of_word, words))]
+    belief = [10 ** ((min(mean) - m) * math.sqrt(len(words))) for m in mean]
+    best = mean.index(min(mean))
+    return languages[best], belief[best] / sum(belief)
+
+
+def test_equals_a_plain_version(spark, make, docs):
+    """Fitted on few texts and asked about many: words, all lengths of n-grams, long words and odd texts."""
+    settings = L.Settings(entries_per_length=400, longest_gram=4)
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.filter("doc_id < 400 and lang is not null and text is not null").collect()]
+    rows += [(1000 + i, "a b a b é", "x" * (i % 3 + 1)) for i in range(9)]
+    teach = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    model = L.fit(L.learnable(make(rows)), settings)
+    plain = plain_model([r[1:] for r in teach], settings)
+    texts = [r[1] for r in rows] + [None, "", "12 ²", "漢字 ab", "e\u0301 E\u0301", "abc" * 30_000, "zzzzqqq the", "x" * 65 + " y"]
+    seen = {}
+    for text in texts:
+        got, want = model.predict(text), plain_prediction(plain, text, settings, seen)
+        assert got[0] == want[0] and got[1] == pytest.approx(want[1], abs=1e-4)
+
+
+def test_every_language_that_is_named_is_learned(make):
+    """300 languages of one row each: all can be predicted, within the bounds of the sample and the model."""
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4)) * 2
+    rows = [(i, f"{word(i)} {word(i)}", f"l{i:03}") for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    model = L.fit(L.learnable(make(rows)), L.Settings(entries=20_000))
+    assert len(model.languages) == len(rows) > 250 and len(model) <= 20_000
+    assert all(model.predict(text)[0] == lang for _, text, lang in rows)
+
+
+def test_a_large_language_is_sampled_by_hash(spark, make):
+    """What reaches the sort is about the share of a language, and the rows are those of the least hashes."""
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 7).alias("text"), F.lit("en").alias("lang"))
+    rows = rows.unionByName(spark.range(10_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("copy").alias("text"), F.lit("en").alias("lang")))
+    settings = L.Settings(rows_per_language=20, least_count=1)
+    model = L.fit(rows, settings)
+    least = rows.distinct().orderBy(F.xxhash64("doc_id", "text")).limit(20).select("text").collect()
+    assert model.words.keys() == {word for (text,) in least for word in L.words_of(text)}
