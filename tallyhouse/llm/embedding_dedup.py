@@ -48,6 +48,8 @@ def unit_vectors(column: pa.Array) -> np.ndarray:
     """Rows of one length as double-precision unit vectors."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     rows = flat.reshape(len(column), -1)
+    # By a power of two first, which is exact, so that no square is too large or too small for a double.
+    rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -79,7 +81,7 @@ def _hashed(batches: Iterator[pa.RecordBatch], hashing: Hashing) -> Iterator[pa.
 
 
 FOUND = "kind int, a long, b long"
-_LINKS, _EDGE, _LARGE = 0, 1, 2
+_LINKS, _EDGE = 0, 1
 
 
 def _compare(rows: pa.Table, least: float, side: np.ndarray | None) -> tuple[np.ndarray, list[tuple[int, int]]]:
@@ -105,21 +107,16 @@ def _compare(rows: pa.Table, least: float, side: np.ndarray | None) -> tuple[np.
     return links, spanning_links(len(n), lambda i, others: near[i, others])
 
 
-def _compared(batches: Iterator[pa.RecordBatch], key: str, limit: int, least: float) -> Iterator[pa.RecordBatch]:
-    for rows, starts, large in sorted_groups(batches, key, limit):
-        ids = rows.column(rows.schema.get_field_index("id")).to_numpy()
+def _compared(batches: Iterator[pa.RecordBatch], key: str, least: float) -> Iterator[pa.RecordBatch]:
+    for rows, starts, _ in sorted_groups(batches, key, 1 << 40):
         kind, a, b = [], [], []
-        if large:
-            kind, a, b = [_LARGE] * len(ids), ids.tolist(), rows.column(rows.schema.get_field_index(key)).to_pylist()
-        else:
-            side = rows.column("side").to_numpy() if "side" in rows.schema.names else None
-            for first, last in zip(starts, np.r_[starts[1:], len(ids)]):
-                if last - first < 2:
+        for first, last in zip(starts, np.r_[starts[1:], rows.num_rows]):
+            for group in _alike(rows.slice(first, last - first)):
+                if group.num_rows < 2:
                     continue
-                group = rows.slice(first, last - first)
-                sides = side[first:last] if side is not None and not group.column("alone")[0].as_py() else None
+                sides = group.column("side").to_numpy() if "side" in group.schema.names and not group.column("alone")[0].as_py() else None
                 links, edges = _compare(group, least, sides)
-                own = ids[first:last]
+                own = group.column("id").to_numpy()
                 some = np.flatnonzero(links)
                 kind += [_LINKS] * len(some) + [_EDGE] * len(edges)
                 a += own[some].tolist() + [int(own[i]) for i, _ in edges]
@@ -130,6 +127,17 @@ def _compared(batches: Iterator[pa.RecordBatch], key: str, limit: int, least: fl
             )
 
 
+def _alike(group: pa.Table) -> Iterator[pa.Table]:
+    """The rows of a bucket by label, length and table: keys of 64 bits might meet by chance."""
+    kinds = np.stack([group.column(c).to_numpy() for c in ("label", "d", "table")], axis=1)
+    if (kinds == kinds[0]).all():
+        yield group
+        return
+    different, of = np.unique(kinds, axis=0, return_inverse=True)
+    for i in range(len(different)):
+        yield group.filter(pa.array(of.ravel() == i))
+
+
 def similar_classes(classes: DataFrame, least: float, hashing: Hashing, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(kind, a, b) for ``classes`` (id long, unique; label; embedding without bad values; n rows): kind 0 says that
     class a has b more links, kind 1 that a and b are linked (enough of these to connect what is linked)."""
@@ -139,26 +147,25 @@ def similar_classes(classes: DataFrame, least: float, hashing: Hashing, block_ro
         "hashed",
     )
     keys = hashed.select("id", F.posexplode("keys").alias("table", "bucket"))
-    # Only what shares a bucket moves with its vector.
-    shared = keys.groupBy("bucket").agg(F.count("*").alias("rows")).filter("rows > 1").select("bucket")
-    met = staged(keys.join(shared, "bucket").select("bucket", "table", "id"), "met")
-    vectors = staged(hashed.join(classes.select("id", "embedding", "n"), "id"), "vectors")
-
-    def within(limit: int, key: str):
-        return lambda batches: _compared(batches, key, limit, least)
-
-    rows = met.join(vectors, "id").select("bucket", "table", "id", "embedding", "n", "keys")
-    found = staged(
-        rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(within(block_rows, "bucket"), FOUND), "found"
-    )
-    large = found.filter(F.col("kind") == _LARGE).select(F.col("a").alias("id"), F.col("b").alias("bucket"))
+    # Only what shares a bucket moves with its vector. Sizes are known before anything moves: a bucket of more than block_rows
+    # rows goes in blocks from the start, many tasks to a bucket.
+    sizes = staged(keys.groupBy("bucket").agg(F.count("*").alias("rows")).filter("rows > 1"), "bucket-sizes")
+    met = staged(keys.join(sizes, "bucket").select("bucket", "table", "id", (F.col("rows") > block_rows).alias("large")), "met")
+    facts = classes.select("id", F.col("label").cast("long").alias("label"), F.size("embedding").alias("d"), "embedding", "n")
+    vectors = staged(hashed.join(facts, "id"), "vectors")
+    columns = ["table", "id", "label", "d", "embedding", "n", "keys"]
+
+    def within(key: str):
+        return lambda batches: _compared(batches, key, least)
+
+    whole = met.filter("not large").join(vectors, "id").select("bucket", *columns).repartition("bucket")
+    found = staged(whole.sortWithinPartitions("bucket").mapInArrow(within("bucket"), FOUND), "found")
+    large = met.filter("large").select("bucket", "table", "id")
     if large.isEmpty():
         return found
-    pairs = block_pairs(staged(large, "large-buckets"), "bucket", "id", block_rows // 2)
-    dealt = pairs.join(met, ["bucket", "id"]).join(vectors, "id")
-    dealt = dealt.select("pair", "side", "alone", "table", "id", "embedding", "n", "keys").repartition("pair")
-    more = staged(dealt.sortWithinPartitions("pair").mapInArrow(within(1 << 40, "pair"), FOUND), "found-in-blocks")
-    return found.filter(F.col("kind") != _LARGE).unionByName(more)
+    dealt = block_pairs(large, "bucket", "id", block_rows // 2).join(vectors, "id").select("pair", "side", "alone", *columns)
+    more = dealt.repartition("pair").sortWithinPartitions("pair").mapInArrow(within("pair"), FOUND)
+    return found.unionByName(staged(more, "found-in-blocks"))
 
 
 def near_duplicates(
@@ -169,7 +176,8 @@ def near_duplicates(
     Rows are compared when their labels are equal and not null and their vectors equally long. A vector that is null,
     empty, zero, or holds a null, NaN or infinity links with nothing and is its own component. Repeated rows are
     vectors of their own and link with each other. Rows without vec_id are compared too; they are not named as a
-    component, and a component of such rows only is null and keeps none. Other columns are not read.
+    component, and a component of such rows only is null and keeps none. Vectors of any length are compared whole, and doubles
+    of any size. Other columns are not read; an empty table gives no rows.
     """
     if not 0 < least <= 1:
         raise ValueError("the least cosine must be above 0 and at most 1")

@@ -112,3 +112,21 @@ def test_odd_vectors(spark):
 def test_bad_threshold(spark):
     with pytest.raises(ValueError, match="cosine"):
         E.near_duplicates(frame(spark, ODD), least=0)
+
+
+def test_very_large_and_very_small_components(spark):
+    """Squares of these overflow or vanish in doubles; the cosine does not."""
+    rows = [(1, [1e300, 2e300]), (2, [1.0, 2.0]), (3, [1e-300, 2e-300]), (4, [5e-324, 1e-323]), (5, [2e300, -1e300])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in E.near_duplicates(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5)}
+
+
+def test_keys_that_meet_by_chance_link_nothing(spark, monkeypatch):
+    """All vectors in one bucket, whatever their label and length: what is compared is alike."""
+    monkeypatch.setattr(E, "bucket_keys", lambda unit, label, hashing: np.full((len(unit), hashing.tables), 7))
+    rows = [(1, [1.0, 0.0], 0), (2, [1.0, 0.001], 0), (3, [1.0, 0.0], 1), (4, [1.0, 0.0, 0.0], 0), (5, [1.0, 0.002], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    for block_rows in (2_048, 2):
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in E.near_duplicates(df, block_rows=block_rows).collect()}
+        assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (0, 4), 5: (1, 3)}
