@@ -94,34 +94,28 @@ def similar_fingerprints(points: DataFrame, max_bits: int = MAX_BITS, block_rows
                 row, cell = cells(part.view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(part[row])], ["cell", "fp"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts, large in sorted_groups(batches, "cell", block_rows):
-            key, bits = rows.column("cell").to_numpy(), rows.column("fp").to_numpy()
-            if large:
-                yield _links(key, bits, np.ones(len(bits), bool))
-            else:
-                a, b = _in_groups(bits, starts, max_bits)
-                yield _links(a, b, np.zeros(len(a), bool))
-
-    def compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts, _ in sorted_groups(batches, "pair", 1 << 40):
-            a, b = _in_groups(rows.column("fp").to_numpy(), starts, max_bits)
-            yield _links(a, b, np.zeros(len(a), bool))
+    def compare(key: str):
+        def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, starts, _ in sorted_groups(batches, key, 1 << 40):
+                a, b = _in_groups(rows.column("fp").to_numpy(), starts, max_bits)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        return within
 
     # Two points in a cell are not within the Manhattan distance for sure; the exact test of the bits implies it.
-    entered = points.select("fp").mapInArrow(enter, "cell long, fp long").repartition("cell")
-    met = staged(entered.sortWithinPartitions("cell").mapInArrow(compare, "a long, b long, large boolean"), "met")
-    links = met.filter("not large").select("a", "b")
-    large = met.filter("large").select(F.col("a").alias("cell"), F.col("b").alias("fp"))
-    if large.isEmpty():
+    entered = points.select("fp").mapInArrow(enter, "cell long, fp long")
+    # Cells are counted before their points move: a large one goes in blocks from the start, many tasks to a cell.
+    sizes = entered.groupBy("cell").agg(F.count("*").alias("n"))
+    large = staged(sizes.filter(F.col("n") > block_rows).select("cell"), "large-cells")
+    some_large = not large.isEmpty()
+    whole = entered.join(large, "cell", "left_anti") if some_large else entered
+    links = whole.repartition("cell").sortWithinPartitions("cell").mapInArrow(compare("cell"), "a long, b long")
+    links = staged(links, "met")
+    if not some_large:
         return links
-    dealt = block_pairs(large, "cell", "fp", block_rows).select("pair", "fp").repartition("pair")
-    more = dealt.sortWithinPartitions("pair").mapInArrow(compare_blocks, "a long, b long, large boolean")
-    return links.unionByName(more.select("a", "b"))
-
-
-def _links(a: np.ndarray, b: np.ndarray, large: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(large)], ["a", "b", "large"])
+    rows = staged(entered.join(large, "cell", "left_semi"), "large-cell-points")
+    dealt = block_pairs(rows, "cell", "fp", block_rows).select("pair", "fp").repartition("pair")
+    return links.unionByName(dealt.sortWithinPartitions("pair").mapInArrow(compare("pair"), "a long, b long"))
 
 
 def _in_groups(bits: np.ndarray, starts: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
