@@ -152,8 +152,10 @@ def land_database(
     keys: Mapping[str, str] | None = None,
     fmt: str = "csv",
     at_once: int = TABLES_AT_ONCE,
+    by_quantiles: bool = False,
 ) -> dict[str, str]:
-    """Lists the tables of a database schema and lands each, as ``land_tables`` does. ``keys`` divide the reads.
+    """Lists the tables of a database schema and lands each, as ``land_tables`` does. ``keys`` divide the reads, into equal
+    strides or, ``by_quantiles``, into ranges of about equally many rows.
 
     At most ``at_once`` times ``db.connections`` connections are open.
     """
@@ -161,6 +163,9 @@ def land_database(
     log.info("%s: %d table(s)", source, len(names))
 
     def opened(name: str) -> Callable[[], DataFrame]:
-        return lambda: jdbc.read_table(spark, db, name, (keys or {}).get(name))
+        key = (keys or {}).get(name)
+        if by_quantiles and key is not None:
+            return lambda: jdbc.read_by_quantiles(spark, db, name, key)
+        return lambda: jdbc.read_table(spark, db, name, key)
 
     return land_tables({name: opened(name) for name in names}, path, source, load_date, fmt, at_once)

@@ -153,6 +153,10 @@ def test_a_listed_database_is_landed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(bronze.jdbc, "read_table", lambda spark, db, name, key: tables[name])
     assert bronze.land_database(spark, None, str(tmp_path), "shop", D1) == {"aisles": "csv", "orders": "csv"}
     assert read_csv(spark, f"{tmp_path}/shop/orders", schemas.with_day("id BIGINT")).count() == 3
+    asked = []
+    monkeypatch.setattr(bronze.jdbc, "read_by_quantiles", lambda spark, db, name, key: asked.append((name, key)) or tables[name])
+    bronze.land_database(spark, None, str(tmp_path), "shop", D2, keys={"orders": "id"}, by_quantiles=True)
+    assert asked == [("orders", "id")] and read_csv(spark, f"{tmp_path}/shop/orders", schemas.with_day("id BIGINT")).count() == 6
 
 
 def test_input_is_evaluated_once(spark, tmp_path):
