@@ -2,6 +2,9 @@
 
 Every stage gets all rows that the one before it kept, written as Parquet and read again, and gives rows with the
 columns of documents; the last gives the pieces with their places in the sequences.
+
+In all stages an empty table gives no rows, further columns pass through whatever their names (the last stage reads doc_id and
+text only), and texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined. The model learns from the labelled rows among those it is given.
 
     Null, empty and letterless texts go. Without any labelled row no language can be determined and nothing stays.
+    Equally likely languages: the first by name. Repeated rows and rows without doc_id are judged each.
     """
     return language_id.accepted(docs, language_id.fit(language_id.learnable(docs)))
 
@@ -23,23 +27,33 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates by SimHash: four-word shingles, four differing bits at most.
 
-    The smallest doc_id of a group stays; an id comes before none, and of repeated rows one stays.
+    The smallest doc_id of a group stays; an id comes before none, and of repeated rows one stays. Null, empty and blank texts
+    are one group with fingerprint zero.
     """
     return simhash.one_of_each_group(docs, words=4, max_bits=4)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not hold a benchmark item. Null and empty texts hold none."""
+    """Documents that do not hold a benchmark item. Null and empty texts hold none; without items all stay.
+
+    Repeated rows and rows without doc_id are judged each.
+    """
     return decontamination.decontaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in place of every secret; n_chars counts the new text."""
+    """All documents, with a mark in place of every secret; n_chars counts the new text.
+
+    Null stays null and empty stays empty. Secrets that overlap get one mark. Repeated rows and rows without doc_id all stay.
+    """
     return secret_scans.masked(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and its offset there. A null text is its end token alone."""
+    """Every piece of every document with its sequence and its offset there. A null or empty text is its end token alone.
+
+    Repeated rows and rows without doc_id are packed each. Documents of equal size go in any order, the same at every run.
+    """
     return packing.pack(docs)
 
 
