@@ -19,6 +19,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import Memo, crc32_of_id, free_name, read, shared
+from tallyhouse.llm.common import MEMO_KEY_CHARS, Memo, crc32_of_id, free_name, read, shared
 
 UNDETERMINED = "und"
 _WORDS = re.compile(r"[^\W\d_]+").findall
 UNSEEN_ENTRIES = 80_000  # of words that a worker remembers beside the model; fewer if there are many languages
 _GRAMS_AT_ONCE = 10_000
-_TEXTS_AT_ONCE = 500
+_WORDS_AT_ONCE = 20_000
+_TEXTS_AT_ONCE = 100
 
 
 @dataclass(frozen=True)
@@ -143,24 +145,77 @@ class LanguageModel:
             at[at == len(self.gram_keys)] = 0
             yield self.gram_rows[at[self.gram_keys[at] == keys]] if len(self.gram_keys) else at[:0]
 
+    def penalties(self, words: set[str]) -> dict[str, bytes]:
+        """Of words that the model does not know, as ``unseen`` gives them one by one; what is new is worked out together."""
+        memo, found, new = self.of_word, {}, []
+        for word in words:
+            value = memo.get(word)
+            if value is None:
+                value = memo.older.get(word)
+            if value is not None:
+                found[word] = value
+            elif len(word) > MEMO_KEY_CHARS:
+                found[word] = self.unseen(word)
+            else:
+                new.append(word)
+        for first in range(0, len(new), _WORDS_AT_ONCE):
+            part = new[first : first + _WORDS_AT_ONCE]
+            found.update(zip(part, self.unseen_together(part)))
+        if len(memo) + len(found) > memo.entries:
+            memo.turn()
+        if len(found) <= memo.entries:
+            memo.update(found)
+        return found
+
+    def unseen_together(self, words: list[str]) -> list[bytes]:
+        languages = len(self.languages)
+        nothing = np.full(languages, self.penalty, np.float32).tobytes()
+        out = [nothing if word.isalpha() or any(map(str.isalpha, word)) else b"" for word in words]
+        waiting = [i for i, value in enumerate(out) if value]
+        for length in range(self.longest, 0, -1):
+            grams = [grams_of(words[i], length) for i in waiting]
+            keys = _hashes(chain.from_iterable(grams))
+            if not len(keys) or not len(self.gram_keys):
+                continue
+            at = np.searchsorted(self.gram_keys, keys)
+            at[at == len(self.gram_keys)] = 0
+            hit = self.gram_keys[at] == keys
+            of = np.repeat(np.arange(len(waiting)), np.fromiter(map(len, grams), np.int64, len(grams)))[hit]
+            rows = self.gram_rows[at[hit]]
+            first = self.starts[rows]
+            n = self.starts[rows + 1] - first
+            entry = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+            gained = np.bincount(np.repeat(of, n) * languages + self.of[entry], self.gain[entry], len(waiting) * languages)
+            known = np.bincount(of, minlength=len(waiting))
+            # An n-gram that no language has says nothing and counts for none of them.
+            mean = self.penalty - gained.reshape(-1, languages) / np.maximum(known, 1)[:, None]
+            mean = mean.astype(np.float32)
+            for place in np.flatnonzero(known):
+                out[waiting[place]] = mean[place].tobytes()
+            waiting = [i for i, some in zip(waiting, known) if not some]
+        return out
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, share of belief in it). Ties go to the language that comes first by name."""
-        counts = words_of(text) if text else {}
-        if not counts or not self.languages:
-            return UNDETERMINED, 0.0
-        rows = list(map(self.words.get, counts))
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        counted = [words_of(text) if text else Counter() for text in texts]
+        if not self.languages:
+            return [(UNDETERMINED, 0.0)] * len(texts)
+        new = self.penalties(set().union(*counted).difference(self.words))
+        return [self.predicted(counts, new) for counts in counted]
+
+    def predicted(self, counts: Counter, new: dict[str, bytes]) -> tuple[str, float]:
         weight = np.fromiter(counts.values(), np.float64, len(counts))
-        new = [i for i, row in enumerate(rows) if row is None]
-        total, size = np.zeros(len(self.languages)), 0.0
-        if len(new) < len(rows):
-            known = np.array([row for row in rows if row is not None])
-            own = np.delete(weight, new)
-            size = own.sum()
-            total = self.penalty * size - self.gains(known, own)
-        if new:
-            words = list(counts)
-            found = [self.of_word[words[i]] for i in new]
-            own = weight[[i for i, f in zip(new, found) if f]]
+        rows = np.fromiter((self.words.get(word, -1) for word in counts), np.int64, len(counts))
+        known = rows >= 0
+        own = weight[known]
+        size = own.sum()
+        total = self.penalty * size - self.gains(rows[known], own)
+        if not known.all():
+            found = [new.get(word, b"") for word in counts]
+            own = weight[np.fromiter(map(len, found), np.int64, len(found)) > 0]
             penalties = np.frombuffer(b"".join(found), np.float32).reshape(len(own), len(self.languages))
             total, size = total + own @ penalties.astype(np.float64), size + own.sum()
         if not size:
@@ -248,7 +303,7 @@ def language_column(spark: SparkSession, text: Column, model: LanguageModel) ->
         for texts in batches:
             rows = []
             for first in range(0, len(texts), _TEXTS_AT_ONCE):
-                rows.extend(map(known.predict, texts.slice(first, _TEXTS_AT_ONCE).to_pylist()))
+                rows.extend(known.predict_all(texts.slice(first, _TEXTS_AT_ONCE).to_pylist()))
             names, scores = zip(*rows) if rows else ((), ())
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
