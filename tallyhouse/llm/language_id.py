@@ -256,8 +256,11 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> LanguageModel:
     sizes = rows.groupBy("lang").agg(F.approx_count_distinct("row").alias("n"))
     languages = [(r["lang"], r["n"]) for r in sizes.orderBy("lang").collect()]
     per_language = min(settings.rows_per_language, max(1, settings.rows // max(1, len(languages))))
-    share = F.least(F.lit(1.0), (1.5 * per_language + 10 * math.sqrt(per_language) + 10) / F.col("n"))
-    few = rows.join(sizes, "lang").filter(F.col("row") <= (share * 2.0**64 - 2.0**63).cast("long")).drop("n")
+    wanted = 1.5 * per_language + 10 * math.sqrt(per_language) + 10
+    most = [(lang, min(int(wanted / n * 2**64) - 2**63, 2**63 - 1)) for lang, n in languages]
+    # A short row for each language, as in the model: rows need not meet by language to be told which of them to leave out.
+    limits = labelled.sparkSession.createDataFrame(most, "lang string, most long")
+    few = rows.join(F.broadcast(limits), "lang").filter(F.col("row") <= F.col("most")).drop("most")
     by_hash = Window.partitionBy("lang").orderBy("row")
     first = (
         few.groupBy("lang", "row").agg(F.min("chars").alias("chars"))
