@@ -10,7 +10,9 @@ what the telling terms do, and all there is in texts without telling terms. A co
 The index keeps the examples in blocks of ``BLOCK``, like ones together. For each term and block that has it there is the
 greatest weight, and the list of the block's examples with their weights. A text's terms and those greatest weights give an upper bound
 for every block; blocks are visited from the greatest bound down, their lists are added up exactly, and the search ends where no
-block left can reach the k-th best cosine. Votes of the nearest count by a high power of the cosine, against a small weight of the
+block left can reach the k-th best cosine. The lists of the commonest terms, which nearly all examples are in, hold a weight for every
+example instead: what they add up to is known exactly for all examples before, as one product for some texts at a time, and is
+part of the bounds. Votes of the nearest count by a high power of the cosine, against a small weight of the
 share of label 1 among examples without telling terms: neighbours that share a few plain words with a text decide
 nothing, a copy decides alone. Votes are turned into probabilities by a logistic curve that is fitted on the examples
 themselves, each scored without itself.
@@ -27,6 +29,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +42,11 @@ from tallyhouse.llm.common import Memo, crc32_of_id, free_name, read, shared, st
 REST = 0.3
 POWER = 6  # of the cosine, in votes
 DOUBT = 0.05  # rows of the label of least weight, in votes
-BLOCK = 64  # examples
-FIRST_BLOCKS = 6  # to visit before the k-th best is looked at
+BLOCK = 16  # examples
+FIRST_BLOCKS = 8  # to visit before the k-th best is looked at
+HEAD_TERMS = 512  # the commonest, whose lists hold a weight for every example
 _SLACK = 1e-9  # sums in another order differ by less
-_TEXTS_AT_ONCE = 500
+_TEXTS_AT_ONCE = 64
 _DIMENSIONS = 128
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
@@ -110,6 +114,13 @@ class ToxicityIndex:
         self.example = _like_together(at, weights, sizes, size)  # at each place
         self.place = np.argsort(self.example)
         place = np.repeat(self.place, sizes) if n else np.zeros(0, np.int64)
+        self.row = np.full(size, -1)  # of the commonest terms in ``dense``
+        head = np.argsort(-df, kind="stable")[:HEAD_TERMS]
+        self.row[head] = np.arange(len(head))
+        common = self.row[at] >= 0
+        self.dense = np.zeros((n, len(head)))
+        self.dense[place[common], self.row[at[common]]] = weights[common]
+        at, place, weights = at[~common], place[~common], weights[~common]
         order = np.lexsort((place, at))
         at, place = at[order], place[order]
         self.lists, self.list_weights = place.astype(np.intp), weights[order]
@@ -168,12 +179,17 @@ class ToxicityIndex:
         cosine, some = self.near(np.array([t for t, _ in vector], np.int64), np.array([w for _, w in vector]), without)
         return list(zip(cosine.tolist(), some.tolist()))
 
-    def near(self, at: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Cosines and numbers of the nearest, as ``nearest`` gives them."""
+    def near(self, at: np.ndarray, weights: np.ndarray, without: int = -1, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines and numbers of the nearest, as ``nearest`` gives them; ``common``: what the commonest terms add up to, by place."""
+        row = self.row[at]
+        if common is None:
+            common = self.dense @ self.of_common([(at, weights)])[:, 0]
+        at, weights = at[row < 0], weights[row < 0]
         entries, of_term = _spans(self.starts[at], self.starts[at + 1])
         weights = weights[of_term]
         block = self.entry_block[entries]
-        bound = np.bincount(block, weights * self.entry_most[entries], self.blocks)
+        bound = np.maximum.reduceat(common, np.arange(0, len(common), BLOCK)) if len(common) else np.zeros(0)
+        bound += np.bincount(block, weights * self.entry_most[entries], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[: np.count_nonzero(bound)]
         bound = bound[order] + _SLACK
@@ -189,6 +205,7 @@ class ToxicityIndex:
             mine = np.flatnonzero(chosen[block])
             own, of_entry = _spans(self.entry_starts[entries[mine]], self.entry_starts[entries[mine] + 1])
             cosine += np.bincount(self.lists[own], weights[mine][of_entry] * self.list_weights[own], len(cosine))
+            cosine += np.where(np.repeat(chosen, BLOCK)[: len(cosine)], common, 0)
             if without >= 0:
                 cosine[self.place[without]] = 0
             found = cosine[cosine > 0]
@@ -203,6 +220,14 @@ class ToxicityIndex:
         best = best[cosine[best] > 0]
         return cosine[best], example[best]
 
+    def of_common(self, vectors: list) -> np.ndarray:
+        """The weights of the commonest terms, a column for each vector."""
+        out = np.zeros((self.dense.shape[1], len(vectors)))
+        for column, (at, weights) in enumerate(vectors):
+            row = self.row[at]
+            out[row[row >= 0], column] = weights[row >= 0]
+        return out
+
     def vote(self, cosine: np.ndarray, example: np.ndarray) -> float:
         """Share of label 1 among the nearest, by closeness and by the rows each stands for, and a little of ``none``."""
         weight = np.minimum(cosine, 1.0) ** POWER * self.weights[example]
@@ -242,11 +267,23 @@ class ToxicityIndex:
 
     def scored(self, text: str | None) -> tuple[float, np.ndarray, np.ndarray]:
         """(probability of label 1, cosines and numbers of the nearest)."""
-        counts = counted_terms(words_of(text), self.of_word)
-        if not counts:
-            return self.none, np.zeros(0), np.zeros(0, np.int64)
-        at, n = np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts))
-        cosine, near = self.near(*self.weighed(at, n))
+        return self.all_scored([text])[0]
+
+    def all_scored(self, texts: list[str | None]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        vectors = [self.weighed_terms(text) for text in texts]
+        common = self.dense @ self.of_common(vectors)
+        return [self.rated(*vector, np.ascontiguousarray(common[:, i])) for i, vector in enumerate(vectors)]
+
+    def weighed_terms(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """A text's unit vector, as terms and weights."""
+        counts = Counter(words_of(text))
+        terms = list(map(self.of_word.__getitem__, counts))
+        n = np.repeat(np.fromiter(counts.values(), np.float64, len(counts)), np.fromiter(map(len, terms), np.int64, len(terms)))
+        at, of = np.unique(np.fromiter(chain.from_iterable(terms), np.int64, len(n)), return_inverse=True)
+        return self.weighed(at, np.bincount(of, n, len(at)))
+
+    def rated(self, at: np.ndarray, weights: np.ndarray, common: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        cosine, near = self.near(at, weights, common=common) if len(at) else (np.zeros(0), np.zeros(0, np.int64))
         if not len(near):
             return self.none, cosine, near
         return 1 / (1 + math.exp(-(self.slope * (self.vote(cosine, near) - 0.5) + self.shift))), cosine, near
@@ -397,7 +434,7 @@ def toxicity_column(spark: SparkSession, text: Column, index: ToxicityIndex) ->
         for texts in batches:
             rows = []
             for first in range(0, len(texts), _TEXTS_AT_ONCE):
-                rows.extend(known.scored(t) for t in texts.slice(first, _TEXTS_AT_ONCE).to_pylist())
+                rows.extend(known.all_scored(texts.slice(first, _TEXTS_AT_ONCE).to_pylist()))
             yield _as_structs(known, rows)
 
     return scored(text)

@@ -98,8 +98,10 @@ def test_rare_words_find_their_example(spark, make):
     assert index.score("nothing known")[0] == index.none < 0.5
 
 
-def test_blocks_are_skipped_and_nothing_is_lost():
+@pytest.mark.parametrize("common", [0, 30, 512])
+def test_blocks_are_skipped_and_nothing_is_lost(monkeypatch, common):
     """Against dense cosines from the raw counts, with examples in several groups of like ones: most blocks are never added up."""
+    monkeypatch.setattr(T, "HEAD_TERMS", common)
     rng = random.Random(8)
     groups = [[f"w{g}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(80)] for g in range(20)]
     words = [w for group in groups for w in group] + ["common"]
