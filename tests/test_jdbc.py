@@ -1,9 +1,9 @@
 """JDBC reads, by the options they hand to Spark. No database is started for a test."""
 
 import datetime as dt
-import sqlite3
 from decimal import Decimal
 
+import duckdb
 import pytest
 
 from tallyhouse.plans.film_rental import TABLE_KEYS
@@ -107,7 +107,7 @@ def test_tables_of_a_schema_are_listed(spark, monkeypatch):
 
 
 class Ranked(Reader):
-    """Answers the query for bounds in an embedded database of this process, and notes what is asked for then."""
+    """Answers the query for bounds by the engine that also runs the SQL of the other tests, and notes what is asked for then."""
 
     def collect(self):
         return self.span.execute(self.set["query"]).fetchall()
@@ -124,9 +124,10 @@ class RankedSession(Session):
 
 
 def table_of(values, kind="INTEGER"):
-    con = sqlite3.connect(":memory:")
+    con = duckdb.connect()
     con.execute(f"CREATE TABLE rental (id {kind}, n INTEGER)")
-    con.executemany("INSERT INTO rental VALUES (?, 1)", [(v,) for v in values])
+    for v in values:
+        con.execute("INSERT INTO rental VALUES (?, 1)", [v])
     return con
 
 
