@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from tallyhouse.sources import jdbc
 from tallyhouse.sources.files import WRITE_OPTIONS, marked
@@ -42,7 +42,7 @@ def write_days(
     The rebalance step gathers each day into few files, and adaptive execution divides a day that is
     larger than its target size, so neither many small files nor one huge task comes out of it. Where
     all rows belong to the same day, ``gather=False`` saves that shuffle for files that several tasks can read; a CSV
-    file is read by one, so rows for those are dealt out by bytes all the same.
+    file is read by one, so rows for those are dealt out by bytes all the same, by a hash of their values.
 
     The size of a file is that of a partition, ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: a million short
     rows and some hundred long texts both come out near it.
@@ -52,7 +52,7 @@ def write_days(
     if gather:
         rows = rows.hint("rebalance", day)
     elif fmt == "csv":
-        rows = rows.hint("rebalance")
+        rows = dealt_by_values(rows, day)
     (
         rows
         .write.mode(mode)
@@ -65,6 +65,17 @@ def write_days(
     )
 
 
+def dealt_by_values(df: DataFrame, day: str = "load_date") -> DataFrame:
+    """Rows dealt out by a hash of all their values, and adaptive execution makes partitions of the target size of them.
+
+    Without columns to deal by, Spark deals in turns, and so that a task that runs again deals alike, it first sorts all
+    that the task has read, which costs more than the rest of the task and needs memory for all its rows. A row's values
+    are the same whenever the task runs. Rows alike in every column stay together, as far as one task has read them.
+    """
+    columns = [f.name for f in df.schema.fields if f.name != day and not isinstance(f.dataType, (MapType, VariantType))]
+    return df.hint("rebalance", *[f"`{name.replace('`', '``')}`" for name in columns])
+
+
 def ingest_day(df: DataFrame, path: str, load_date: dt.date, fmt: str) -> None:
     """Loads one day, replacing what an earlier run of the same day left.
 

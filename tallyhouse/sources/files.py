@@ -40,13 +40,16 @@ WRITE_OPTIONS = {
 
 
 def marked(df: DataFrame) -> DataFrame:
-    """Texts that would read as the null mark get one backslash more: \\N, and those that look like it then."""
-    return _each_text(df, lambda c: F.when(c.rlike(r"^\\+N\z"), F.concat(F.lit("\\"), c)).otherwise(c))
+    """Texts that would read as the null mark get one backslash more: \\N, and those that look like it then.
+
+    Nearly all texts end otherwise, and no pattern is laid over those.
+    """
+    return _each_text(df, lambda c: F.when(c.endswith(NULL_MARK) & c.rlike(r"^\\+N\z"), F.concat(F.lit("\\"), c)).otherwise(c))
 
 
 def unmarked(df: DataFrame) -> DataFrame:
     """What ``marked`` changed, as it was."""
-    return _each_text(df, lambda c: F.when(c.rlike(r"^\\{2,}N\z"), F.substring(c, 2, 2**31 - 1)).otherwise(c))
+    return _each_text(df, lambda c: F.when(c.endswith(NULL_MARK) & c.rlike(r"^\\{2,}N\z"), F.substring(c, 2, 2**31 - 1)).otherwise(c))
 
 
 def _each_text(df: DataFrame, change) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse import workdir
 from tallyhouse.lake import bronze, checks, silver
 from tallyhouse.sources import schemas
-from tallyhouse.sources.files import read_csv, read_dated_dumps, read_dated_snapshots, read_json, read_json_split
+from tallyhouse.sources.files import marked, read_csv, read_dated_dumps, read_dated_snapshots, read_json, read_json_split, unmarked
 from tallyhouse.streaming.silver import refresh_silver
 
 D1, D2, D3 = (dt.date(2021, 10, d) for d in (7, 8, 9))
@@ -490,6 +490,35 @@ def test_long_texts_land_in_files_near_the_target_size(spark, tmp_path):
     assert rows_of(back.select("id", F.sha2("s", 256))) == rows_of(want)
 
 
+def test_rows_are_dealt_by_their_values(spark, tmp_path, capsys):
+    """No task sorts what it has read before it deals its rows out, whatever the columns are called."""
+    rows = spark.range(0, 3000, 1, 3).selectExpr("id", "cast(id % 7 as string) as `a.b c`", "if(id % 2 = 0, null, '\\\\\\\\N') as s")
+    day = rows.withColumn("load_date", F.lit(D1).cast("date"))
+    bronze.dealt_by_values(day).explain()
+    plan = capsys.readouterr().out
+    assert "RoundRobin" not in plan and "hashpartitioning(id" in plan and "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert "load_date" not in plan.split("hashpartitioning(")[1].split("REBALANCE")[0]
+    bronze.ingest_day(rows, str(tmp_path / "t"), D1, "csv")
+    back = read_csv(spark, str(tmp_path / "t"), schemas.with_day("id BIGINT, `a.b c` STRING, s STRING"))
+    assert rows_of(back) == rows_of(day)
+    # A table of its day alone, and one whose rows are all alike.
+    bronze.ingest_day(spark.range(50).selectExpr("'x' as s"), str(tmp_path / "same"), D1, "csv")
+    assert rows_of(read_csv(spark, str(tmp_path / "same"), schemas.with_day("s STRING"))) == [("x", D1)] * 50
+    assert bronze.dealt_by_values(day.select("load_date")).count() == 3000
+
+
+@pytest.mark.parametrize("change", [marked, unmarked])
+def test_no_pattern_is_laid_over_texts_that_do_not_end_like_the_null_mark(spark, change, capsys):
+    texts = ["\\N", "\\\\N", "\\\\\\N", "N", "x\\N", "\\N\n", "\\n", "", None, "\\", "\n\\N"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, s STRING")
+    bare = {marked: lambda t: "\\" + t, unmarked: lambda t: t[1:]}[change]
+    least = {marked: 1, unmarked: 2}[change]
+    want = [bare(t) if t and t.rstrip("N") == "\\" * (len(t) - 1) and len(t) > least and t[-1] == "N" else t for t in texts]
+    assert [r["s"] for r in change(df).orderBy("i").collect()] == want
+    change(df).explain()
+    assert "EndsWith" in capsys.readouterr().out
+
+
 def test_counts_of_the_write_equal_the_audit(spark, tmp_path):
     data = [
         (1, " a", D1), (1, "a", D1), (1, "b", D1), (None, "a", D1), (1, "  ", D1), (1, "a", D2), (2, "", D3), (1, "a", None), (3, None, None),
